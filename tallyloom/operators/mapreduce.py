@@ -213,6 +213,8 @@ def grouped_lists(pairs: DataFrame, max_values: int = 100_000) -> DataFrame:
     return (
         runs.join(hot, F.col("key").eqNullSafe(F.col("hot_key")), "left")
         .withColumn("chunk", F.coalesce(spread, F.lit(0)))
+        # Not left to the join's partitioning, which would put a hot key in one task.
+        .repartition("key", "chunk")
         .groupBy("key", "chunk")
         .agg(F.flatten(F.collect_list(F.array_repeat("value", F.col("copies")))).alias("values"))
     )

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.text import mentioned_words
 
+# Windows per row from which a batch is counted by pane first.
+PANE_OVERLAP = 6
+
 
 def explode_mentions(
     posts: DataFrame, words: Sequence[str], text: str = "text", word: str = "word"
@@ -38,15 +41,17 @@ def sliding_counts(
 ) -> DataFrame:
     """Counts per key and window ``[win_start, win_start + window)``, batch or stream.
 
-    Windows start at multiples of the slide since the epoch. A batch is first
-    counted per slide-wide pane, so that only pane totals are copied into the
-    windows that cover them, not every row. A stream keeps one aggregation,
-    because update mode allows no second one after it.
+    Windows start at multiples of the slide since the epoch. Where many windows
+    overlap, a batch is first counted per slide-wide pane, so that pane totals are
+    copied into the windows that cover them and not every row. With few windows
+    the copies merge in the partial aggregation and one shuffle is cheaper. A
+    stream keeps one aggregation, as update mode allows no second one after it.
     """
     amount = F.lit(1).cast("bigint") if weight is None else weight.cast("bigint")
     window, slide = f"{window_seconds} seconds", f"{slide_seconds} seconds"
     key_columns = [F.col(key) for key in keys]
-    if rows.isStreaming or window_seconds % slide_seconds:
+    overlap, rest = divmod(window_seconds, slide_seconds)
+    if rows.isStreaming or rest or overlap < PANE_OVERLAP:
         return (
             rows.groupBy(F.window(ts, window, slide).alias("win"), *key_columns)
             .agg(F.sum(amount).alias("n"))
@@ -57,11 +62,10 @@ def sliding_counts(
         .agg(F.sum(amount).alias("n"))
         .select(F.col("pane.start").alias("pane_start"), *keys, "n")
     )
-    steps = window_seconds // slide_seconds
     shifted = F.array(
         *[
             F.col("pane_start") - F.make_dt_interval(secs=F.lit(step * slide_seconds))
-            for step in range(steps)
+            for step in range(overlap)
         ]
     )
     return (

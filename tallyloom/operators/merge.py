@@ -207,7 +207,7 @@ def insert_new_offsets(
     spark = records.sparkSession
     key = [topic, partition, offset]
     ranged = records.dropDuplicates(key).withColumn(
-        "offset_range", F.floor(F.col(offset) / range_size).cast("bigint")
+        "offset_range", F.expr(f"`{offset}` div {int(range_size)}")
     )
     if path_exists(spark, path):
         span = ranged.agg(F.min("offset_range"), F.max("offset_range")).first()

@@ -53,7 +53,7 @@ def similar_neighbours(
 
     left = _blocks(wanted, on, "_left", block_rows, ["_set"])
     right = _blocks(candidates, on, "_right", block_rows, ["_set", "_id"])
-    reach = right.groupBy(on).agg((F.max("_right") + 1).alias("_rights"))
+    reach = _block_counts(candidates, on, block_rows).withColumnRenamed("_count", "_rights")
     missing = F.raise_error(F.concat(F.lit(f"no neighbours for {on} "), F.col(on).cast("string")))
     blocks = F.coalesce(F.col("_rights"), missing.cast("int"))
     pairs = (
@@ -80,17 +80,19 @@ def similar_neighbours(
     return people.join(best, [on, "_set"]).drop("_set").withColumnRenamed("_id", neighbour_id)
 
 
+def _block_counts(sets: DataFrame, on: str, block_rows: int) -> DataFrame:
+    number = F.ceil(F.count(F.lit(1)) / block_rows).cast("int")
+    return sets.groupBy(on).agg(number.alias("_count"))
+
+
 def _blocks(sets: DataFrame, on: str, block: str, block_rows: int, kept: list[str]) -> DataFrame:
     """Collect the rows of each key into lists of about ``block_rows``."""
-    counts = sets.groupBy(on).agg(
-        F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_count")
-    )
     number = F.pmod(F.xxhash64(*kept), F.col("_count")).cast("int")
-    return (
-        sets.join(counts, on)
-        .groupBy(on, number.alias(block))
-        .agg(F.collect_list(F.struct(*kept)).alias("_rows"))
-    )
+    numbered = sets.join(_block_counts(sets, on, block_rows), on).withColumn(block, number)
+    # Without this exchange the join's partitioning on the key alone would do for
+    # the aggregation, and all blocks of a hot key would be built by one task.
+    spread = numbered.repartition(on, block)
+    return spread.groupBy(on, block).agg(F.collect_list(F.struct(*kept)).alias("_rows"))
 
 
 def _letter_matrix(sets: list[str], letters: dict[str, int]) -> np.ndarray:

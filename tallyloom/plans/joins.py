@@ -37,7 +37,7 @@ def q_merged_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_swapped_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     pair = F.struct(F.col("o_orderkey").alias("first"), F.col("o_custkey").alias("second"))
-    half = F.floor(F.col("o_custkey") / 2).alias("half")
+    half = F.expr("o_custkey div 2").alias("half")
     return table(spark, sf_dir, "orders").select(swap(pair).alias("p"), half).select("p.*", "half")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.operators.merge import insert_new_offsets, read_offsets
+from tallyloom.operators.merge import insert_new_offsets, read_batches, read_offsets, write_batch
 from tallyloom.operators.offsets import (
     batch_ranges,
     envelope,
@@ -60,7 +60,7 @@ def q_idempotent_insert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("props").alias("value"),
             F.lit("events").alias("topic"),
             F.pmod("event_id", F.lit(4)).cast("int").alias("partition"),
-            F.floor(F.col("event_id") / 4).cast("bigint").alias("offset"),
+            F.expr("event_id div 4").alias("offset"),
         )
         run_available(records, offsets_sink(f"{base}/table"), f"{base}/checkpoint-{run}")
     return read_offsets(spark, f"{base}/table").select("topic", "partition", "offset", "key", "value")
@@ -78,8 +78,6 @@ def q_ticked_places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_loop_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same documents in each of two micro-batches, stamped with the current time."""
-    from tallyloom.operators.merge import read_batches, write_batch
-
     base = scratch_dir(spark, "loop")
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
 

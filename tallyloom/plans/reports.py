@@ -41,8 +41,8 @@ def q_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _daily_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_day(usage_facts(spark, sf_dir), "date")
+def _daily_facts(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    return with_day(usage_facts(spark, sf_dir, spread), "date")
 
 
 def q_olap_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,12 +64,12 @@ def q_olap_member(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_etl_day_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = _daily_facts(spark, sf_dir)
+    facts = _daily_facts(spark, sf_dir, spread=True)
     return last_by_key(facts, USAGE_KEY, USAGE_VERSION).select(*USAGE_COLUMNS)
 
 
 def q_key_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = _daily_facts(spark, sf_dir).select(*USAGE_COLUMNS, *USAGE_VERSION)
+    facts = _daily_facts(spark, sf_dir, spread=True).select(*USAGE_COLUMNS, *USAGE_VERSION)
     stored = last_by_key(facts.where(F.col("l_linenumber") % 2 == 1), USAGE_KEY, USAGE_VERSION)
     incoming = facts.where(F.col("l_linenumber") % 2 == 0)
     return upsert_by_key(stored, incoming, USAGE_KEY, USAGE_VERSION).select(*USAGE_COLUMNS)

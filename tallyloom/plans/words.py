@@ -18,9 +18,9 @@ from tallyloom.operators.mapreduce import (
 )
 from tallyloom.operators.mentions import mention_counts, sliding_counts
 from tallyloom.operators.pivot import cell_pivot
-from tallyloom.session import scratch_dir
+from tallyloom.session import scratch_dir, spread_small
 from tallyloom.sources.cells import counter_cells
-from tallyloom.sources.tables import table
+from tallyloom.sources.tables import table, texts
 from tallyloom.streaming.sinks import latest_updates, run_available, updates_sink
 from tallyloom.streaming.sources import table_stream
 
@@ -38,11 +38,11 @@ def q_mention_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(table(spark, sf_dir, "documents"), space_tokens("text"))
+    return token_counts(texts(spark, sf_dir, "text"), space_tokens("text"))
 
 
 def q_word_count_ws(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(table(spark, sf_dir, "documents"), blank_tokens("text"))
+    return token_counts(texts(spark, sf_dir, "text"), blank_tokens("text"))
 
 
 def _type_and_cents(_event_id, event):
@@ -54,7 +54,8 @@ def _total(key, values):
 
 
 def q_mr_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = table(spark, sf_dir, "events").select("event_id", F.struct("event_type", "value"))
+    events = table(spark, sf_dir, "events")
+    pairs = spread_small(events.select("event_id", F.struct("event_type", "value")))
     return map_reduce(
         pairs,
         _type_and_cents,
@@ -90,7 +91,7 @@ def _word_by_count(word, n):
 
 
 def q_mr_regroup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = token_counts(table(spark, sf_dir, "documents"), space_tokens("text"))
+    counts = token_counts(texts(spark, sf_dir, "text"), space_tokens("text"))
     grouped = map_reduce(
         counts,
         _word_by_count,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that every query of this package relies on for right results.
 REQUIRED_CONF = {"spark.sql.session.timeZone": "UTC"}
@@ -76,3 +76,23 @@ def state_partitions(spark: SparkSession) -> int:
     if is_local(spark):
         return min(configured, spark.sparkContext.defaultParallelism)
     return configured
+
+
+# A scan below this size may sit in one row group and so in one task.
+SMALL_SCAN_BYTES = 256 << 20
+
+
+def planned_bytes(rows: DataFrame) -> int:
+    """Catalyst's size estimate of a plan; file sizes for a plain scan. Runs no job."""
+    return int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def spread_small(rows: DataFrame, limit: int = SMALL_SCAN_BYTES) -> DataFrame:
+    """Deal the rows of a small scan out to all cores ahead of costly row work.
+
+    A table beyond ``limit`` has files and row groups enough for every core and is
+    left as it is, so that no large table is shuffled for this.
+    """
+    if planned_bytes(rows) > limit:
+        return rows
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, 1))

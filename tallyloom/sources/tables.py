@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.session import spread_small
+
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -99,15 +101,22 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("props").alias("value"),
         F.lit("events").alias("topic"),
         F.pmod(event_id, F.lit(4)).cast("int").alias("partition"),
-        F.floor(event_id / 4).cast("bigint").alias("offset"),
-        F.floor(event_id / 1000).cast("bigint").alias("batch"),
+        F.expr("event_id div 4").alias("offset"),
+        F.expr("event_id div 1000").alias("batch"),
         "event_id",
     )
 
 
-def usage_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def texts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Document columns for row work that is long against the scan."""
+    return spread_small(table(spark, sf_dir, "documents").select(*columns))
+
+
+def usage_facts(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """Line items as usage facts with host, domain, feature, date and three measures."""
-    line = table(spark, sf_dir, "lineitem")
+    line = table(spark, sf_dir, "lineitem").drop("l_discount", "l_tax")
+    if spread:
+        line = spread_small(line)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     return line.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_returnflag").alias("host"),
