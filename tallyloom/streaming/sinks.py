@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from typing import Any
@@ -187,17 +188,17 @@ class FolderConnection:
         self.fs.create_dir(self.folder, recursive=True)
 
     def insert(self, batches: Iterator[pa.RecordBatch], name: str) -> None:
-        writer = None
+        # Written under a name of its own, then moved, so that two attempts of one
+        # task never share a file and readers never see half of one.
+        partial = f"{self.folder}/_{name}-{uuid.uuid4().hex}"
         try:
-            with self.fs.open_output_stream(f"{self.folder}/{name}.parquet") as out:
-                for batch in batches:
-                    if writer is None:
-                        writer = pq.ParquetWriter(out, batch.schema)
+            first = next(batches)
+            with pq.ParquetWriter(partial, first.schema, filesystem=self.fs) as writer:
+                for batch in _chain(first, batches):
                     writer.write_batch(batch)
-                if writer is not None:
-                    writer.close()
+            self.fs.move(partial, f"{self.folder}/{name}.parquet")
         except BaseException:
-            self.fs.delete_file(f"{self.folder}/{name}.parquet")
+            self.fs.delete_file(partial)
             raise
 
     def close(self) -> None:
