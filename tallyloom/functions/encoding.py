@@ -2,40 +2,57 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: the Base32 alphabet of RFC 4648.
 BASE32_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
+# Fixed value: the digits that ``conv`` writes in base 32.
+CONV_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
+
+
+def _with(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used there."""
+    return F.transform(F.array(value), body)[0]
 
-def _pad_bits(bits: Column, multiple: int) -> Column:
-    """Add zero bits on the right up to a multiple of ``multiple``."""
-    length = F.length(bits)
-    return F.rpad(bits, length + F.pmod(-length, F.lit(multiple)), F.lit("0"))
+
+def _pad(text: Column, multiple: int, fill: str) -> Column:
+    """Add ``fill`` on the right up to a multiple of ``multiple``."""
+    length = F.length(text)
+    return F.rpad(text, length + F.pmod(-length, F.lit(multiple)), F.lit(fill))
 
 
-def _bit_groups(bits: Column, width: int) -> Column:
-    starts = F.sequence(F.lit(0), F.floor(F.length(bits) / width).cast("int") - 1)
-    return F.transform(starts, lambda i: F.substr(bits, i * width + 1, F.lit(width)))
+def _convert(bits: Column, width: int, base: int, bits_per_digit: int) -> Column:
+    """Digits of a bit string in a base of 2**bits_per_digit, leading zeros kept.
+
+    ``conv`` takes 64 bits at most; a longer text is converted in pieces.
+    """
+
+    def piece(text: Column) -> Column:
+        digits = (F.length(text) / bits_per_digit).cast("int")
+        return F.lpad(F.conv(text, 2, base), digits, F.lit("0"))
+
+    starts = F.sequence(F.lit(0), F.length(bits) - 1, F.lit(width))
+    pieces = F.transform(starts, lambda i: piece(F.substr(bits, i + 1, F.lit(width))))
+    return F.when(F.length(bits) <= width, piece(bits)).otherwise(F.array_join(pieces, ""))
 
 
 def base16_bits(bits: Column) -> Column:
     """Base16 of a bit string padded with zeros to whole bytes."""
-    groups = _bit_groups(_pad_bits(bits, 8), 4)
-    return F.array_join(F.transform(groups, lambda g: F.conv(g, 2, 16)), "")
+    padded = _with(bits, lambda b: _pad(b, 8, "0"))
+    return _with(padded, lambda b: _convert(b, 64, 16, 4))
 
 
 def base32_bits(bits: Column) -> Column:
     """Base32 of a bit string padded with zeros to whole bytes, ``=`` at the end."""
-    groups = _bit_groups(_pad_bits(_pad_bits(bits, 8), 5), 5)
-    letters = F.transform(
-        groups,
-        lambda g: F.substr(F.lit(BASE32_ALPHABET), F.conv(g, 2, 10).cast("int") + 1, F.lit(1)),
-    )
-    text = F.array_join(letters, "")
-    length = F.length(text)
-    return F.rpad(text, length + F.pmod(-length, F.lit(8)), F.lit("="))
+    whole_bytes = _with(bits, lambda b: _pad(b, 8, "0"))
+    padded = _with(whole_bytes, lambda b: _pad(b, 5, "0"))
+    digits = _with(padded, lambda b: _convert(b, 60, 32, 5))
+    letters = F.translate(digits, CONV_DIGITS, BASE32_ALPHABET)
+    return _with(letters, lambda text: _pad(text, 8, "="))
 
 
 def base64_text(encoded: Column) -> Column:

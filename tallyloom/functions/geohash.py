@@ -3,43 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
 from numbers import Real
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Bound = Column | Real
 
-
-def _checked_range(low: Bound, high: Bound) -> tuple[Column, Column]:
-    if isinstance(low, Real) and isinstance(high, Real):
-        if not high > low:
-            raise ValueError(f"empty or unitary range: ({low}, {high})")
-        return F.lit(float(low)), F.lit(float(high))
-    low_column = (low if isinstance(low, Column) else F.lit(low)).cast("double")
-    high_column = (high if isinstance(high, Column) else F.lit(high)).cast("double")
-    complaint = F.raise_error(F.concat(F.lit("empty or unitary range up to "), high_column))
-    return low_column, F.when(high_column > low_column, high_column).otherwise(
-        complaint.cast("double")
-    )
-
-
-def _dimension_bits(value: Column, low: Column, high: Column, digits: int) -> Column:
-    """Bit string of one dimension; each step halves the range that is left."""
-
-    def halve(state: Column, _digit: Column) -> Column:
-        middle = (state["lo"] + state["hi"]) / 2
-        below = value < middle
-        return F.struct(
-            F.when(below, state["lo"]).otherwise(middle).alias("lo"),
-            F.when(below, middle).otherwise(state["hi"]).alias("hi"),
-            F.concat(state["bits"], F.when(below, "0").otherwise("1")).alias("bits"),
-        )
-
-    start = F.struct(low.alias("lo"), high.alias("hi"), F.lit("").alias("bits"))
-    steps = F.sequence(F.lit(1), F.lit(digits))
-    bits = F.aggregate(steps, start, halve, lambda state: state["bits"])
-    return F.when(value.isNotNull(), bits)
+# Up to this many bits per dimension the quotient that finds a cell is off by at
+# most one cell, and up to this many bits in all a hash fits into one long.
+MAX_DIRECT_DIGITS = 50
+MAX_DIRECT_BITS = 63
 
 
 def geohash_bits(
@@ -47,37 +25,111 @@ def geohash_bits(
 ) -> Column:
     """Bit string with ``digits`` bits per dimension, dimensions interleaved.
 
-    ``value`` is an array Column or one Column per dimension. A value below the
-    middle of the range left gives 0, otherwise 1, also outside the range.
+    ``value`` is an array Column or one Column per dimension. Each bit tells
+    whether the value is below the middle of the range left (0) or not (1), also
+    for a value outside the range; a null coordinate gives null.
+
+    Where the edges of all cells are exact doubles and the hash fits into one
+    long, the cell of a value follows from one division that is then checked
+    against the cell's edges, all in generated code. Longer hashes, other ranges
+    and ranges held in Columns are halved step by step over Arrow batches.
     """
     if digits < 1:
         raise ValueError("digits must be at least 1")
-    bounds = [_checked_range(low, high) for low, high in ranges]
-    size = len(bounds)
-    if isinstance(value, Column):
-        fits = F.when(
-            F.size(value) == size, value
-        ).otherwise(F.raise_error(F.lit(f"value should have {size} dimensions")))
-        coordinates = [F.get(fits, F.lit(dim)) for dim in range(size)]
+    for low, high in ranges:
+        if isinstance(low, Real) and isinstance(high, Real) and not high > low:
+            raise ValueError(f"empty or unitary range: ({low}, {high})")
+    coordinates = _coordinates(value, len(ranges))
+    short = digits <= MAX_DIRECT_DIGITS and digits * len(ranges) <= MAX_DIRECT_BITS
+    if short and all(_exact_edges(low, high, digits) for low, high in ranges):
+        cells = [
+            _cell_number(coordinate, float(low), float(high), digits)
+            for coordinate, (low, high) in zip(coordinates, ranges)
+        ]
+        bits = _woven_bits(cells, digits)
     else:
-        if len(value) != size:
-            raise ValueError(f"value should have {size} dimensions, not {len(value)}")
-        coordinates = list(value)
-    strands = [
-        _dimension_bits(coordinate.cast("double"), low, high, digits)
-        for coordinate, (low, high) in zip(coordinates, bounds)
-    ]
-    if size == 1:
-        return strands[0]
-    positions = F.sequence(F.lit(1), F.lit(digits))
-    woven = F.transform(
-        positions,
-        lambda i: F.concat(*[F.substr(strand, i, F.lit(1)) for strand in strands]),
-    )
-    nulls = F.lit(False)
-    for coordinate in coordinates:
-        nulls = nulls | coordinate.isNull()
-    return F.when(~nulls, F.array_join(woven, ""))
+        bounds = [bound for pair in ranges for bound in _checked_range(*pair)]
+        bits = _halving_udf(digits)(*coordinates, *bounds)
+    known = coordinates[0].isNotNull()
+    for coordinate in coordinates[1:]:
+        known = known & coordinate.isNotNull()
+    if isinstance(value, Column):
+        complaint = F.raise_error(F.lit(f"value should have {len(ranges)} dimensions"))
+        return F.when(F.size(value) != len(ranges), complaint).when(known, bits)
+    return F.when(known, bits)
+
+
+def _coordinates(value: Column | Sequence[Column], size: int) -> list[Column]:
+    if isinstance(value, Column):
+        return [F.get(value, F.lit(dim)).cast("double") for dim in range(size)]
+    if len(value) != size:
+        raise ValueError(f"value should have {size} dimensions, not {len(value)}")
+    return [coordinate.cast("double") for coordinate in value]
+
+
+def _exact_edges(low: Bound, high: Bound, digits: int) -> bool:
+    """True if every edge, as a multiple of one power of two, fits into 53 bits."""
+    if not (isinstance(low, Real) and isinstance(high, Real)):
+        return False
+    start, end = Fraction(float(low)), Fraction(float(high))
+    step = (end - start) / 2**digits
+    unit = max(start.denominator, step.denominator)
+    return unit < 2**1000 and max(abs(start), abs(end)) * unit <= 2**53
+
+
+def _cell_number(x: Column, low: float, high: float, digits: int) -> Column:
+    """Number of the cell of ``x`` among ``2**digits``; exact edges are assumed."""
+    step = (high - low) / 2**digits
+    guess = F.floor((x - low) / step)
+    at_least = F.when(x < low + guess * step, guess - 1).otherwise(guess)
+    exact = F.when(x >= low + (guess + 1) * step, guess + 1).otherwise(at_least)
+    # NaN sorts above every number here and so ends up in the last cell.
+    return F.when(x < low, 0).when(x >= high, 2**digits - 1).otherwise(exact).cast("bigint")
+
+
+def _woven_bits(cells: list[Column], digits: int) -> Column:
+    """Bits of the cell numbers, one of each in turn, most significant first."""
+    size = len(cells)
+    code = F.lit(0).cast("bigint")
+    for d in range(digits):
+        for i, cell in enumerate(cells):
+            bit = _bit(cell, digits - 1 - d)
+            code = code.bitwiseOR(F.shiftleft(bit, (digits - d) * size - 1 - i))
+    return F.lpad(F.bin(code), digits * size, "0")
+
+
+def _bit(cell: Column, position: int) -> Column:
+    return F.shiftright(cell, position).bitwiseAND(F.lit(1).cast("bigint"))
+
+
+def _checked_range(low: Bound, high: Bound) -> tuple[Column, Column]:
+    low_column = (low if isinstance(low, Column) else F.lit(low)).cast("double")
+    high_column = (high if isinstance(high, Column) else F.lit(high)).cast("double")
+    complaint = F.raise_error(F.concat(F.lit("empty or unitary range up to "), high_column))
+    checked = F.when(high_column > low_column, high_column).otherwise(complaint.cast("double"))
+    return low_column, checked
+
+
+def _halving_udf(digits: int):
+    @F.pandas_udf(T.StringType())
+    def halve(*columns: pd.Series) -> pd.Series:
+        size = len(columns) // 3
+        rows = len(columns[0])
+        arrays = [column.to_numpy(dtype=np.float64) for column in columns]
+        lows = [low.copy() for low in arrays[size::2]]
+        highs = [high.copy() for high in arrays[size + 1 :: 2]]
+        bits = np.empty((rows, digits, size), dtype=np.uint8)
+        for d in range(digits):
+            for i, x in enumerate(arrays[:size]):
+                middle = (lows[i] + highs[i]) / 2
+                above = ~(x < middle)
+                lows[i] = np.where(above, middle, lows[i])
+                highs[i] = np.where(above, highs[i], middle)
+                bits[:, d, i] = above
+        text = (bits.reshape(rows, digits * size) + ord("0")).astype(np.uint8)
+        return pd.Series([row.tobytes().decode("ascii") for row in text], dtype=object)
+
+    return halve
 
 
 def in_cell(bits: Column, prefix: Column | str) -> Column:

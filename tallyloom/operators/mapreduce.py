@@ -220,6 +220,11 @@ def grouped_lists(pairs: DataFrame, max_values: int = 100_000) -> DataFrame:
     )
 
 
+def key_sorted_lists(pairs: DataFrame, max_values: int = 100_000) -> DataFrame:
+    """``grouped_lists`` in key order: the result shape ``[(key, [values])]``."""
+    return grouped_lists(pairs, max_values).orderBy("key", "chunk")
+
+
 def pair_stats(pairs: DataFrame, stage: str) -> DataFrame:
     """Rows ``(stage, part, n_keys, n_values)``: sizes of each partition of a stage."""
     key = pairs.columns[0]

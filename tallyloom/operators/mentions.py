@@ -20,6 +20,11 @@ def explode_mentions(
     return posts.withColumn(word, F.explode(mentioned_words(text, words)))
 
 
+def track_posts(posts: DataFrame, words: Sequence[str], text: str = "text") -> DataFrame:
+    """Posts that mention at least one of the keywords, batch or stream."""
+    return posts.where(F.size(mentioned_words(text, words)) > 0)
+
+
 def mention_counts(
     posts: DataFrame, words: Sequence[str], text: str = "text", lang: str = "lang"
 ) -> DataFrame:

@@ -40,6 +40,12 @@ def split_valid(rows: DataFrame, valid: Column) -> tuple[DataFrame, DataFrame]:
     return rows.where(good), rows.where(~good)
 
 
+def join_or_reject(rows: DataFrame, lookup: DataFrame, on: str) -> tuple[DataFrame, DataFrame]:
+    """Rows joined to what a lookup holds for them, and the rows it holds nothing for."""
+    keys = lookup.select(on).distinct()
+    return rows.join(lookup, on), rows.join(keys, on, "left_anti")
+
+
 @dataclass(frozen=True)
 class CountingUpsert:
     """Table of first sightings: the first row of a key stays, ``hits`` counts all.
@@ -206,11 +212,10 @@ def insert_new_offsets(
     """
     spark = records.sparkSession
     key = [topic, partition, offset]
-    ranged = records.dropDuplicates(key).withColumn(
-        "offset_range", F.expr(f"`{offset}` div {int(range_size)}")
-    )
+    offset_range = F.expr(f"`{offset}` div {int(range_size)}")
+    ranged = records.dropDuplicates(key).withColumn("offset_range", offset_range)
     if path_exists(spark, path):
-        span = ranged.agg(F.min("offset_range"), F.max("offset_range")).first()
+        span = records.agg(F.min(offset_range), F.max(offset_range)).first()
         if span[0] is None:
             return
         known = (

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Values are cut into digits of this many bits. A window over the children of
-# one prefix then has at most 2**DIGIT_BITS rows, whatever the data.
-DIGIT_BITS = 16
+# Values are cut into digits of at most this many bits. A window over the children
+# of one prefix then has at most 2**DIGIT_BITS rows, whatever the data.
+DIGIT_BITS = 21
 
 # A value that occurs often is written out in runs of RUN_ROWS positions.
 RUN_ROWS = 1 << 20
@@ -56,19 +56,17 @@ def _starts(counts: DataFrame, bits: int) -> DataFrame:
     Works down a digit tree: the total of every prefix, then the totals of the
     smaller siblings under the same parent, added to the parent's own start.
     """
-    levels = list(range(0, bits, DIGIT_BITS))
-    totals = {0: counts}
-    for shift in levels[1:]:
-        below = totals[shift - DIGIT_BITS]
-        totals[shift] = (
-            below.groupBy(F.shiftright("value", DIGIT_BITS).alias("value"))
-            .agg(F.sum("n").alias("n"))
-        )
-    top = totals[levels[-1]].withColumn("parent", F.lit(0).cast("bigint"))
+    levels = -(-bits // DIGIT_BITS)
+    digit = -(-bits // levels)
+    totals = [counts]
+    for _ in range(levels - 1):
+        prefix = F.shiftright("value", digit).alias("value")
+        totals.append(totals[-1].groupBy(prefix).agg(F.sum("n").alias("n")))
+    top = totals.pop().withColumn("parent", F.lit(0).cast("bigint"))
     started = _add_sibling_totals(top, F.lit(0).cast("bigint"))
-    for shift in reversed(levels[:-1]):
+    while totals:
         parents = started.select(F.col("value").alias("parent"), F.col("start").alias("base"))
-        children = totals[shift].withColumn("parent", F.shiftright("value", DIGIT_BITS))
+        children = totals.pop().withColumn("parent", F.shiftright("value", digit))
         started = _add_sibling_totals(children.join(parents, "parent"), F.col("base"))
     return started
 

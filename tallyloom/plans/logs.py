@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.operators.merge import insert_new_offsets, read_batches, read_offsets, write_batch
+from tallyloom.operators.merge import insert_new_offsets, read_batches, read_offsets
 from tallyloom.operators.offsets import (
     batch_ranges,
     envelope,
@@ -13,12 +15,13 @@ from tallyloom.operators.offsets import (
     with_batch_offsets,
     with_record_offsets,
 )
+from tallyloom.operators.stages import python_stage
 from tallyloom.operators.ticks import tick_times, ticked_places
-from tallyloom.session import scratch_dir
+from tallyloom.session import scratch_dir, spread_small
 from tallyloom.sources.payload import parse_payload
 from tallyloom.sources.tables import PLACES, event_log, table
-from tallyloom.streaming.sinks import offsets_sink, run_available
-from tallyloom.streaming.sources import stamped_now, table_stream, ticks
+from tallyloom.streaming.sinks import append_sink, offsets_sink, run_available
+from tallyloom.streaming.sources import looped, table_stream, ticks
 
 
 def q_batch_offset_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,9 +84,7 @@ def q_loop_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "loop")
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
 
-    def sink(_tick: DataFrame, batch_id: int) -> None:
-        write_batch(stamped_now(docs), f"{base}/table", batch_id)
-
+    sink = looped(docs, append_sink(f"{base}/table"))
     for _ in range(2):
         run_available(ticks(spark, 0.1), sink, f"{base}/checkpoint")
     stored = read_batches(spark, f"{base}/table")
@@ -92,7 +93,25 @@ def q_loop_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+class _EvenNumbers:
+    """Stage state: how a record is read is settled once per task."""
+
+    def __init__(self):
+        self.parse = json.loads
+
+    def __call__(self, record):
+        number = self.parse(record["value"])["k"]
+        if number % 2 == 0:
+            yield record["partition"], record["offset"], number
+
+
+def q_python_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = event_log(spark, sf_dir).select("partition", "offset", "value")
+    return python_stage(spread_small(log), _EvenNumbers, "partition int, offset bigint, k bigint")
+
+
 QUERIES = {
+    "python_stage": q_python_stage,
     "batch_offset_ranges": q_batch_offset_ranges,
     "offset_ranges": q_offset_ranges,
     "record_offsets": q_record_offsets,
@@ -111,6 +130,11 @@ _LOG = """
 """
 
 ORACLES = {
+    "python_stage": rf"""
+        SELECT "partition", "offset", k FROM (
+            SELECT *, CAST(regexp_extract(value, '"k": (-?\d+)', 1) AS BIGINT) AS k FROM ({_LOG}))
+        WHERE k % 2 = 0
+    """,
     "batch_offset_ranges": f"""
         SELECT batch, topic, "partition", min("offset") AS from_offset,
                max("offset") + 1 AS until_offset

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.encoding import base64_text, column_family, column_qualifier
+from tallyloom.operators.mapreduce import grouped_lists
 
 CELL_COLUMNS = ["row_key", "family", "qualifier", "ts", "value"]
 CELL_SCHEMA = "row_key string, family string, qualifier string, ts bigint, value string"
@@ -89,20 +90,30 @@ def get_rows(
     return latest(out, tie_break)
 
 
-def row_map(cells: DataFrame) -> DataFrame:
-    """One row per row key with a map ``family:qualifier -> value``."""
-    entry = F.struct(F.concat_ws(":", "family", "qualifier"), F.col("value"))
-    return cells.groupBy("row_key").agg(F.map_from_entries(F.collect_list(entry)).alias("row"))
+def _collected(cells: DataFrame, item: Column, max_cells: int) -> DataFrame:
+    """Rows ``(row_key, chunk, values)``; chunk 0 only, unless a row is very wide."""
+    lists = grouped_lists(cells.select("row_key", item.alias("item")), max_cells)
+    return lists.withColumnRenamed("key", "row_key")
 
 
-def nested_rows(cells: DataFrame) -> DataFrame:
-    """Decoded row shape ``{key, row: [{family, qual, value, timestamp}]}``."""
+def row_map(cells: DataFrame, max_cells: int = 100_000) -> DataFrame:
+    """One row per row key with a map ``family:qualifier -> value``.
+
+    ``cells`` holds one version per cell. A row of more than ``max_cells`` cells is
+    split over several chunks.
+    """
+    entry = F.struct(F.concat_ws(":", "family", "qualifier").alias("key"), F.col("value"))
+    rows = _collected(cells, entry, max_cells)
+    return rows.select("row_key", "chunk", F.map_from_entries("values").alias("row"))
+
+
+def nested_rows(cells: DataFrame, max_cells: int = 100_000) -> DataFrame:
+    """Decoded row shape ``{key, row: [{family, qual, value, timestamp}]}``, chunked alike."""
     cell = F.struct(
         "family", F.col("qualifier").alias("qual"), "value", F.col("ts").alias("timestamp")
     )
-    return cells.groupBy(F.col("row_key").alias("key")).agg(
-        F.array_sort(F.collect_list(cell)).alias("row")
-    )
+    rows = _collected(cells, cell, max_cells)
+    return rows.select(F.col("row_key").alias("key"), "chunk", F.array_sort("values").alias("row"))
 
 
 def decode_rest(responses: DataFrame, body: str = "body") -> DataFrame:

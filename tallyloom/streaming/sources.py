@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,3 +86,8 @@ def ticks(spark: SparkSession, seconds: float) -> DataFrame:
 def stamped_now(rows: DataFrame, column: str = "timestamp") -> DataFrame:
     """Rows with the current time in epoch milliseconds, set per micro-batch."""
     return rows.withColumn(column, F.unix_millis(F.current_timestamp()))
+
+
+def looped(table: DataFrame, sink: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """A sink for a tick stream that passes on all of ``table`` at every tick, stamped."""
+    return lambda _tick, batch_id: sink(stamped_now(table), batch_id)

@@ -113,6 +113,18 @@ def test_delete_rows(spark, table):
     assert {r["row_key"] for r in cells.delete_rows(table, keys).collect()} == {"mary"}
 
 
+@pytest.mark.parametrize("limit", [2, 100])
+def test_wide_rows_are_chunked(spark, limit):
+    wide = cells.put_cells(spark, [("w", "f", f"q{i}", i, str(i)) for i in range(30)] + PUTS[:1])
+    maps = cells.row_map(wide, limit).collect()
+    assert sorted(k for r in maps if r["row_key"] == "w" for k in r["row"]) == sorted(
+        f"f:q{i}" for i in range(30)
+    )
+    assert (sum(r["row_key"] == "w" for r in maps) > 1) == (limit == 2)
+    assert [r["chunk"] for r in maps if r["row_key"] == "john"] == [0]
+    assert sum(len(r["row"]) for r in cells.nested_rows(wide, limit).collect()) == 31
+
+
 def test_counter_cells(spark):
     counts = spark.createDataFrame([("Chopin", "es", 7)], "word string, lang string, n bigint")
     row = cells.counter_cells(counts, "word", "lang", "n").first()

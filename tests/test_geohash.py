@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import base64
+import math
 import random
 
 import pytest
@@ -48,14 +49,26 @@ def test_golden(spark, digits, bits, b16, b32):
     assert tuple(row) == (bits, b16, b32)
 
 
-def test_random_points(spark):
+@pytest.mark.parametrize(
+    "ranges",
+    [
+        [(-1.0, 1.0), (0, 7), (-3.5, 2.25)],
+        [(0.1, 0.7), (-1 / 3, 5.0)],
+        [(-180, 180)],
+        [(-1e-300, 1e300), (0.1, 7.7)],
+    ],
+)
+def test_random_points(spark, ranges):
     draw = random.Random(3)
-    ranges = [(-1.0, 1.0), (0, 7), (-3.5, 2.25)]
-    points = [[draw.uniform(-4, 8) for _ in ranges] for _ in range(50)] + [[0.0, 3.5, -0.625]]
+    points = [[draw.uniform(-4, 8) for _ in ranges] for _ in range(200)]
+    # Points on the edges of cells and next to them.
+    for digits in (1, 3, 6):
+        edges = [lo + (hi - lo) * draw.randint(0, 2**digits) / 2**digits for lo, hi in ranges]
+        points += [edges, [math.nextafter(x, -9) for x in edges], [math.nextafter(x, 9) for x in edges]]
     frame = spark.createDataFrame([(p,) for p in points], "v array<double>")
-    for digits in (1, 7, 13):
-        bits = geohash_bits(ranges, digits, F.col("v"))
-        out = frame.select("v", bits, base16_bits(bits), base32_bits(bits)).collect()
+    for digits in (1, 7, 13, 40):
+        hashed = frame.select("v", geohash_bits(ranges, digits, F.col("v")).alias("bits"))
+        out = hashed.select("v", "bits", base16_bits(F.col("bits")), base32_bits(F.col("bits"))).collect()
         for value, got, b16, b32 in out:
             want = halving(ranges, digits, value)
             assert got == want

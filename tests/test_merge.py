@@ -63,6 +63,14 @@ def test_split_valid(spark):
     assert rows_of(good) == [(1,)] and {r[0] for r in bad.collect()} == {5, None}
 
 
+def test_join_or_reject(spark):
+    rows = spark.createDataFrame([("a",), ("b",), (None,)], "place string")
+    lookup = spark.createDataFrame([("a", 1), ("a", 2)], "place string, topic int")
+    found, rejected = merge.join_or_reject(rows, lookup, "place")
+    assert rows_of(found) == [("a", 1), ("a", 2)]
+    assert {r[0] for r in rejected.collect()} == {"b", None}
+
+
 def test_snapshot(spark, tmp_path):
     path = str(tmp_path / "snap")
     ids = lambda *values: spark.createDataFrame([(v,) for v in values], "x int")

@@ -9,7 +9,7 @@ from tallyloom.functions import text
 from tallyloom.functions.encoding import base64_text, column_family, column_qualifier
 from tallyloom.functions.maps import merge_maps, swap
 from tallyloom.functions.times import epoch_millis_now, from_second_text, to_day, to_second_text
-from tallyloom.operators.mentions import explode_mentions, mention_counts, sliding_counts
+from tallyloom.operators.mentions import explode_mentions, mention_counts, sliding_counts, track_posts
 from tallyloom.operators import posts
 from tests.conftest import rows_of
 
@@ -44,6 +44,13 @@ def test_mention_counts_once_per_post(spark):
     assert explode_mentions(frame, ["Chopin", "chop"]).count() == 5
 
 
+def test_track_posts(spark):
+    frame = spark.createDataFrame([(t,) for t in TEXTS], "text string")
+    assert {r[0] for r in track_posts(frame, ["Chopin"]).collect()} == {
+        "Chopin", "chopin", "chopin chopin", "xChopiny Miles Davis"
+    }
+
+
 @pytest.mark.parametrize("window, slide", [(60, 20), (50, 20), (20, 20), (140, 20)])
 def test_sliding_counts(spark, window, slide):
     start = datetime.datetime(2024, 1, 1)
