@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,17 +39,39 @@ def build_session(
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
 
 
 def require_conf(spark: SparkSession) -> SparkSession:
-    """Set the result-relevant settings on a session that somebody else built."""
+    """Prepare a session that somebody else built: result-relevant settings, package."""
+    ship_package(spark)
     for key, value in REQUIRED_CONF.items():
         if spark.conf.get(key) != value:
             spark.conf.set(key, value)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, as ``--py-files`` would, once per application.
+
+    Tasks that run Python functions import it there, whatever folder the driver
+    was started in.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).parent
+        archive = f"{tempfile.mkdtemp(prefix='tallyloom-')}/{package.name}.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        context.addPyFile(archive)
+        _SHIPPED.add(context.applicationId)
+    return spark
+
+
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
