@@ -40,14 +40,40 @@ def _convert(bits: Column, width: int, base: int, bits_per_digit: int) -> Column
     return F.when(F.length(bits) <= width, piece(bits)).otherwise(F.array_join(pieces, ""))
 
 
-def base16_bits(bits: Column) -> Column:
-    """Base16 of a bit string padded with zeros to whole bytes."""
+def _convert_fixed(bits: Column, length: int, width: int, base: int, bits_per_digit: int) -> Column:
+    """The same for bit strings that all have ``length`` bits."""
+    pieces = []
+    for first in range(0, length, width):
+        taken = min(width, length - first)
+        text = bits if taken == length else F.substr(bits, F.lit(first + 1), F.lit(taken))
+        pieces.append(F.lpad(F.conv(text, 2, base), taken // bits_per_digit, "0"))
+    return pieces[0] if len(pieces) == 1 else F.concat(*pieces)
+
+
+def _up_to(length: int, multiple: int) -> int:
+    return -(-length // multiple) * multiple
+
+
+def base16_bits(bits: Column, length: int | None = None) -> Column:
+    """Base16 of a bit string padded with zeros to whole bytes.
+
+    With ``length``, the number of bits of every string, the work stays in
+    generated code.
+    """
+    if length is not None:
+        whole = _up_to(length, 8)
+        return _convert_fixed(F.rpad(bits, whole, "0"), whole, 64, 16, 4)
     padded = _with(bits, lambda b: _pad(b, 8, "0"))
     return _with(padded, lambda b: _convert(b, 64, 16, 4))
 
 
-def base32_bits(bits: Column) -> Column:
+def base32_bits(bits: Column, length: int | None = None) -> Column:
     """Base32 of a bit string padded with zeros to whole bytes, ``=`` at the end."""
+    if length is not None:
+        whole = _up_to(_up_to(length, 8), 5)
+        digits = _convert_fixed(F.rpad(bits, whole, "0"), whole, 60, 32, 5)
+        letters = F.translate(digits, CONV_DIGITS, BASE32_ALPHABET)
+        return F.rpad(letters, _up_to(whole // 5, 8), "=")
     whole_bytes = _with(bits, lambda b: _pad(b, 8, "0"))
     padded = _with(whole_bytes, lambda b: _pad(b, 5, "0"))
     digits = _with(padded, lambda b: _convert(b, 60, 32, 5))

@@ -90,18 +90,18 @@ def _cell_number(x: Column, low: float, high: float, digits: int) -> Column:
 def _woven_bits(cells: list[Column], digits: int) -> Column:
     """Bits of the cell numbers, one of each in turn, most significant first."""
     size = len(cells)
+    # Four bits of a cell number, spread to every size-th bit of a long.
+    spread = [sum((n >> b & 1) << b * size for b in range(4)) for n in range(16)]
+    table = F.array(*[F.lit(entry).cast("bigint") for entry in spread])
     code = F.lit(0).cast("bigint")
-    for d in range(digits):
-        for i, cell in enumerate(cells):
-            bit = _bit(cell, digits - 1 - d)
-            code = code.bitwiseOR(F.shiftleft(bit, (digits - d) * size - 1 - i))
+    for i, cell in enumerate(cells):
+        for first in range(0, digits, 4):
+            four = F.shiftright(cell, first).bitwiseAND(F.lit(15).cast("bigint"))
+            woven = F.get(table, four.cast("int"))
+            code = code.bitwiseOR(F.shiftleft(woven, first * size + size - 1 - i))
     return F.lpad(F.bin(code), digits * size, "0")
 
 
-def _bit(cell: Column, position: int) -> Column:
-    return F.shiftright(cell, position).bitwiseAND(F.lit(1).cast("bigint"))
-
-
 def _checked_range(low: Bound, high: Bound) -> tuple[Column, Column]:
     low_column = (low if isinstance(low, Column) else F.lit(low)).cast("double")
     high_column = (high if isinstance(high, Column) else F.lit(high)).cast("double")

@@ -33,11 +33,11 @@ def q_geohash_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_geohash_b16(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _hashed(spark, sf_dir).select("vec_id", base16_bits(F.col("bits")).alias("hash"))
+    return _hashed(spark, sf_dir).select("vec_id", base16_bits(F.col("bits"), DIMENSIONS * DIGITS).alias("hash"))
 
 
 def q_geohash_b32(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _hashed(spark, sf_dir).select("vec_id", base32_bits(F.col("bits")).alias("hash"))
+    return _hashed(spark, sf_dir).select("vec_id", base32_bits(F.col("bits"), DIMENSIONS * DIGITS).alias("hash"))
 
 
 def q_geohash_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:

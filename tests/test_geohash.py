@@ -68,8 +68,10 @@ def test_random_points(spark, ranges):
     frame = spark.createDataFrame([(p,) for p in points], "v array<double>")
     for digits in (1, 7, 13, 40):
         hashed = frame.select("v", geohash_bits(ranges, digits, F.col("v")).alias("bits"))
-        out = hashed.select("v", "bits", base16_bits(F.col("bits")), base32_bits(F.col("bits"))).collect()
-        for value, got, b16, b32 in out:
+        bits, length = F.col("bits"), digits * len(ranges)
+        encoded = [base16_bits(bits), base32_bits(bits), base16_bits(bits, length), base32_bits(bits, length)]
+        for value, got, b16, b32, *fixed in hashed.select("v", "bits", *encoded).collect():
+            assert fixed == [b16, b32]
             want = halving(ranges, digits, value)
             assert got == want
             padded = want.ljust(-(-len(want) // 8) * 8, "0")
