@@ -21,7 +21,7 @@ def space_tokens(text: Column | str) -> Column:
 
 def blank_tokens(text: Column | str) -> Column:
     """Split on runs of white space, Unicode spaces too; no empty tokens."""
-    return F.filter(F.split(_col(text), r"[\s\p{Zs}]+"), lambda token: token != "")
+    return F.array_remove(F.split(_col(text), r"[\s\p{Zs}]+"), "")
 
 
 def mentions_word(text: Column | str, word: str) -> Column:
@@ -30,17 +30,20 @@ def mentions_word(text: Column | str, word: str) -> Column:
     return column.contains(F.lit(word)) | column.contains(F.lower(F.lit(word)))
 
 
-def mentioned_words(text: Column | str, words: Sequence[str]) -> Column:
-    """Array of the keywords that the text mentions, in the order of ``words``.
+def keyword_hits(text: Column | str, words: Sequence[str]) -> Column:
+    """Array of the keywords that the text mentions, with nulls that stand for the others.
 
     Each keyword counts once per text. ``words`` is a list held by the caller,
     so it reaches the tasks as literals and no join is needed.
     """
     if len(words) > EXPRESSION_KEYWORDS:
         return _automaton_udf(list(words))(_col(text))
-    return F.array_compact(
-        F.array(*[F.when(mentions_word(text, word), F.lit(word)) for word in words])
-    )
+    return F.array(*[F.when(mentions_word(text, word), F.lit(word)) for word in words])
+
+
+def mentioned_words(text: Column | str, words: Sequence[str]) -> Column:
+    """Array of just the keywords that the text mentions, in the order of ``words``."""
+    return F.array_compact(keyword_hits(text, words))
 
 
 def _automaton_udf(words: list[str]):
@@ -77,8 +80,8 @@ def _automaton_udf(words: list[str]):
 
 def char_set(text: Column | str) -> Column:
     """Sorted array of the distinct characters of a text."""
-    characters = F.filter(F.split(_col(text), ""), lambda char: char != "")
-    return F.array_sort(F.array_distinct(characters))
+    characters = F.array_remove(F.split(_col(text), ""), "")
+    return F.sort_array(F.array_distinct(characters))
 
 
 def shared_chars(left: Column | str, right: Column | str) -> Column:
@@ -93,7 +96,7 @@ def hashtag_list(hashtags: Column | str) -> Column:
 
 def hashtags_text(hashtags: Column | str) -> Column:
     """Texts of the hashtags, sorted by bytes and joined by a pipe."""
-    return F.array_join(F.array_sort(hashtag_list(hashtags)), "|")
+    return F.array_join(F.sort_array(hashtag_list(hashtags)), "|")
 
 
 def _col(column: Column | str) -> Column:

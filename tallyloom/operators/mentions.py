@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.text import mentioned_words
+from tallyloom.functions.text import keyword_hits, mentioned_words
 
 # Windows per row from which a batch is counted by pane first.
 PANE_OVERLAP = 6
@@ -17,7 +17,8 @@ def explode_mentions(
     posts: DataFrame, words: Sequence[str], text: str = "text", word: str = "word"
 ) -> DataFrame:
     """One row per post and keyword that it mentions; the other columns stay."""
-    return posts.withColumn(word, F.explode(mentioned_words(text, words)))
+    # Nulls are dropped after the explode, where generated code does it.
+    return posts.withColumn(word, F.explode(keyword_hits(text, words))).where(F.col(word).isNotNull())
 
 
 def track_posts(posts: DataFrame, words: Sequence[str], text: str = "text") -> DataFrame:
@@ -29,11 +30,9 @@ def mention_counts(
     posts: DataFrame, words: Sequence[str], text: str = "text", lang: str = "lang"
 ) -> DataFrame:
     """Number of posts per keyword and language: ``(word, lang, n)``."""
-    return (
-        posts.select(F.col(lang).alias("lang"), F.explode(mentioned_words(text, words)).alias("word"))
-        .groupBy("word", "lang")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    slim = posts.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    found = explode_mentions(slim, words)
+    return found.groupBy("word", "lang").agg(F.count(F.lit(1)).alias("n"))
 
 
 def sliding_counts(
