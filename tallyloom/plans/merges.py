@@ -59,8 +59,10 @@ def _shared_folder(spark: SparkSession, purpose: str) -> str:
 def q_pooled_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _shared_folder(spark, "pooled")
     slim = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    connect = partial(FolderConnection, folder)
     for number in (0, 1, 1, 2):
-        send_partitions(_batch(slim, number), number, partial(FolderConnection, folder), pool=folder)
+        rows = _batch(slim, number)
+        send_partitions(rows, number, connect, pool=folder, start_batch=connect().start_batch)
     return spark.read.parquet(folder)
 
 

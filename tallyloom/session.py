@@ -104,6 +104,7 @@ def state_partitions(spark: SparkSession) -> int:
 
 # A scan below this size may sit in one row group and so in one task.
 SMALL_SCAN_BYTES = 256 << 20
+SPREAD_BYTES = 1 << 20
 
 
 def planned_bytes(rows: DataFrame) -> int:
@@ -112,11 +113,13 @@ def planned_bytes(rows: DataFrame) -> int:
 
 
 def spread_small(rows: DataFrame, limit: int = SMALL_SCAN_BYTES) -> DataFrame:
-    """Deal the rows of a small scan out to all cores ahead of costly row work.
+    """Deal the rows of a small scan out to the cores ahead of costly row work.
 
     A table beyond ``limit`` has files and row groups enough for every core and is
     left as it is, so that no large table is shuffled for this.
     """
-    if planned_bytes(rows) > limit:
+    size = planned_bytes(rows)
+    if size > limit:
         return rows
-    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, 1))
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(min(cores, size // SPREAD_BYTES + 1), 1))

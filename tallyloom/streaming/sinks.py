@@ -141,21 +141,29 @@ def pooled(name: str, connect: Callable[[], Any]) -> Any:
 
 
 def send_partitions(
-    rows: DataFrame, batch_id: int, connect: Callable[[], Any], pool: str | None = None
+    rows: DataFrame,
+    batch_id: int,
+    connect: Callable[[], Any],
+    pool: str | None = None,
+    start_batch: Callable[[int], None] | None = None,
 ) -> int:
     """Send every partition over a connection and return the number of rows sent.
 
     ``connect()`` gives an object with ``insert(arrow_batches, name)`` and
     ``close()``. ``name`` is the same when a task is retried, so the store can
     replace what an earlier attempt left. One connection per partition, or one
-    per worker process with ``pool``.
+    per worker process with ``pool``. ``start_batch(batch_id)`` runs first, on the
+    driver: a whole batch that is repeated may be cut into other partitions, so
+    there the store removes all that the batch left before.
     """
+    if start_batch is not None:
+        start_batch(batch_id)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = next(iter(batches), None)
         if first is None:
             return
-        name = f"batch-{batch_id}-part-{TaskContext.get().partitionId()}"
+        name = f"{_batch_name(batch_id)}{TaskContext.get().partitionId()}"
         connection = pooled(pool, connect) if pool else connect()
         counted = [0]
 
@@ -175,6 +183,10 @@ def send_partitions(
     return sent or 0
 
 
+def _batch_name(batch_id: int) -> str:
+    return f"batch-{batch_id}-part-"
+
+
 def _chain(first: pa.RecordBatch, rest: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield first
     yield from rest
@@ -201,5 +213,10 @@ class FolderConnection:
             self.fs.delete_file(partial)
             raise
 
+    def start_batch(self, batch_id: int) -> None:
+        for info in self.fs.get_file_info(pa.fs.FileSelector(self.folder)):
+            if info.base_name.startswith(_batch_name(batch_id)):
+                self.fs.delete_file(info.path)
+
     def close(self) -> None:
         pass

@@ -13,7 +13,7 @@ from tallyloom.operators.mentions import explode_mentions, sliding_counts
 from tallyloom.operators.merge import CountingUpsert, read_batches, read_offsets, read_snapshot
 from tallyloom.operators.posts import NESTED_POST_SCHEMA, post_tuple, project_post
 from tallyloom.operators.ticks import tick_times, ticked_places
-from tallyloom.session import require_conf, scratch_dir
+from tallyloom.session import planned_bytes, require_conf, scratch_dir, spread_small
 from tallyloom.sources import files
 from tallyloom.sources.cells import counter_cells
 from tallyloom.sources.payload import parse_payload
@@ -229,8 +229,10 @@ def test_connections(spark, tmp_path, pooled):
 
 def test_folder_connection_replaces_a_repeated_insert(spark, tmp_path):
     folder = f"file://{tmp_path}/docs"
-    for _ in range(2):
-        sinks.send_partitions(spark.range(0, 10, 1, 2), 0, partial(sinks.FolderConnection, folder))
+    connect = partial(sinks.FolderConnection, folder)
+    for partitions in (4, 4, 2):
+        rows = spark.range(0, 10, 1, partitions)
+        sinks.send_partitions(rows, 0, connect, start_batch=connect().start_batch)
     assert rows_of(spark.read.parquet(folder)) == [(i,) for i in range(10)]
     connection = sinks.FolderConnection(folder)
 
@@ -271,6 +273,15 @@ def test_scratch_dir_needs_a_shared_folder_on_a_cluster(spark):
         scratch_dir(Cluster, "x")
 
 
+def test_spread_small(spark, tmp_path):
+    path = str(tmp_path / "small")
+    spark.range(200_000).selectExpr("id", "uuid() AS u").coalesce(1).write.parquet(path)
+    small = spark.read.parquet(path)
+    assert planned_bytes(small) > 5 << 20
+    assert spread_small(small).rdd.getNumPartitions() == 4
+    assert "Repartition" not in spread_small(small, limit=1)._jdf.queryExecution().analyzed().toString()
+
+
 def test_required_conf(spark):
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
     assert require_conf(spark).conf.get("spark.sql.session.timeZone") == "UTC"
