@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.text import hashtag_list, hashtags_text
 from tallyloom.functions.times import from_second_text, to_second_text
-from tallyloom.operators.topk import top_k_per_group
+from tallyloom.operators.topk import top_k_per_group, top_k_wide_rows
 
 # The top-level post fields that the projection copies.
 SHALLOW_FIELDS = [
@@ -112,15 +112,21 @@ def popular_posts(
     favs: str = "favorite_count",
     count: int = POSTS_PER_TOPIC,
     where: Mapping[str, object] | None = None,
+    key: Sequence[str] = (),
 ) -> DataFrame:
     """The ``count`` posts with most favs of each topic, numbered in ``rank``.
 
     ``where`` are equality filters on the posts, for example ``{"lang": "es"}``.
+    Name a ``key`` of the posts if they hold their texts: the texts are then only
+    read for the posts chosen (see ``top_k_wide_rows``).
     """
     source = posts
     for column, wanted in (where or {}).items():
         source = source.where(F.col(column) == F.lit(wanted))
-    return top_k_per_group(source, [topic], [F.desc(favs), *tie_break], count)
+    order = [F.desc(favs), *tie_break]
+    if key:
+        return top_k_wide_rows(source, [topic], order, count, key)
+    return top_k_per_group(source, [topic], order, count)
 
 
 def posts_of_places(

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.session import scratch_dir
+
 
 def top_k_per_group(
     rows: DataFrame,
@@ -34,3 +36,25 @@ def top_k_per_group(
         )
     ranked = source.withColumn(rank, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
     return ranked.where(F.col(rank) <= k)
+
+
+def top_k_wide_rows(
+    rows: DataFrame,
+    group: Sequence[str],
+    order: Sequence[Column],
+    k: int,
+    key: Sequence[str],
+    rank: str = "rank",
+) -> DataFrame:
+    """The same for rows that carry long columns, such as whole texts.
+
+    ``key`` tells all rows apart. The choice is made on the key, group and order
+    columns alone and stored in the shared folder; the long columns of the chosen
+    rows are fetched by a second scan. Spark knows the size of the stored choice
+    and broadcasts it below its own threshold, so the long columns are neither
+    sorted nor shuffled; above the threshold it is a shuffle join.
+    """
+    spark = rows.sparkSession
+    path = scratch_dir(spark, "top-k")
+    top_k_per_group(rows, group, order, k, rank).select(*key, rank).write.parquet(path)
+    return rows.join(spark.read.parquet(path), list(key)).select(*rows.columns, rank)

@@ -40,6 +40,11 @@ def q_popular_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return popular_posts(slim, "topic_name", _arrival())
 
 
+def q_popular_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    doc = table(spark, sf_dir, "documents")
+    return popular_posts(doc, "source", _arrival(), favs="n_chars", count=5, key=["doc_id"])
+
+
 def q_popular_posts_where(spark: SparkSession, sf_dir: str) -> DataFrame:
     slim = _topic_posts(spark, sf_dir).select("source", "doc_id", "favorite_count", "lang")
     return popular_posts(slim, "source", _arrival(), count=5, where={"lang": "es"})
@@ -120,6 +125,7 @@ def q_place_posts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         topic="topic_name",
         tie_break=["doc_id"],
         count=3,
+        key=["doc_id"],
     )
     store = CountingUpsert(f"{base}/table", ["author_screen_name", "created_at"], ["place", "topic_name"])
     run_available(enriched.stream, enriched.into(counting_sink(store)), f"{base}/checkpoint")
@@ -131,6 +137,7 @@ def q_place_posts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "popular_posts": q_popular_posts,
     "popular_posts_where": q_popular_posts_where,
+    "popular_texts": q_popular_texts,
     "short_posts": q_short_posts,
     "nested_topic_posts": q_nested_topic_posts,
     "post_tuple": q_post_tuple,
@@ -175,6 +182,12 @@ ORACLES = {
         SELECT source, doc_id, favorite_count, lang, rank
         FROM ({_ranked("source", 5, "lang = 'es'")})
     """,
+    "popular_texts": """
+        SELECT * FROM (
+            SELECT *, CAST(row_number() OVER (PARTITION BY source
+                           ORDER BY n_chars DESC, doc_id) AS INTEGER) AS rank FROM documents)
+        WHERE rank <= 5
+    """,
     "short_posts": f"""
         SELECT text, n_chars AS favorite_count, {_CREATED} AS created_at FROM documents
     """,

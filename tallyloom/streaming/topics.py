@@ -29,6 +29,7 @@ class PlacePosts:
     topic: str
     tie_break: Sequence[str]
     count: int
+    key: Sequence[str]
 
     def rows(self, places: DataFrame) -> DataFrame:
         """Flat post rows of the places of one micro-batch, each place taken once.
@@ -42,6 +43,7 @@ class PlacePosts:
             self.topic,
             tie_break=[F.col(name) for name in self.tie_break],
             count=self.count,
+            key=self.key,
         )
         searched = found.withColumnsRenamed({"place": "_place", self.topic: "_topic"})
         shaped = searched.withColumn("place", F.lit(None).cast("struct<full_name: string>"))
@@ -59,9 +61,11 @@ def place_posts_stream(
     topic: str,
     tie_break: Sequence[str],
     count: int = POSTS_PER_TOPIC,
+    key: Sequence[str] = (),
 ) -> PlacePosts:
     """``places`` is a stream with a column ``place``; ``trends`` has place and topic.
 
-    ``posts`` are nested posts with the topic column and without ``place``.
+    ``posts`` are nested posts with the topic column and without ``place``; ``key``
+    tells them apart, so that texts are only read for the posts chosen.
     """
-    return PlacePosts(places, trends, posts, topic, tie_break, count)
+    return PlacePosts(places, trends, posts, topic, tie_break, count, key)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.text import char_set, shared_chars
 from tallyloom.operators.neighbours import similar_neighbours
-from tallyloom.operators.topk import top_k_per_group
+from tallyloom.operators.topk import top_k_per_group, top_k_wide_rows
 from tests.conftest import rows_of
 
 PEOPLE = "name string, age int"
@@ -100,3 +100,15 @@ def test_top_k_beyond_the_window_limit(spark, limit):
         assert rows_of(top) == sorted(want)
     finally:
         spark.conf.set(name, before)
+
+
+def test_top_k_of_wide_rows_sorts_no_texts(spark, tmp_path):
+    path = str(tmp_path / "wide")
+    spark.range(300).selectExpr("id", "id % 3 AS g", "(id * 7) % 100 AS v", "repeat('x', 50) AS text").write.parquet(path)
+    rows = spark.read.parquet(path)
+    order = [F.desc("v"), F.col("id")]
+    wide = top_k_wide_rows(rows, ["g"], order, 4, ["id"])
+    assert wide.columns == ["id", "g", "v", "text", "rank"]
+    assert rows_of(wide) == rows_of(top_k_per_group(rows, ["g"], order, 4))
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Sort " not in plan
