@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators.merge import CountingUpsert, read_batches, read_snapshot, replace_snapshot
 from tallyloom.session import scratch_dir
 from tallyloom.sources.cells import counter_cells
-from tallyloom.sources.files import csv_table
+from tallyloom.sources.files import csv_table, path_uri
 from tallyloom.sources.tables import table
 from tallyloom.streaming.sinks import FolderConnection, append_sink, run_available, send_partitions
 from tallyloom.streaming.sources import table_stream
@@ -52,8 +52,7 @@ def q_append_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _shared_folder(spark: SparkSession, purpose: str) -> str:
-    path = scratch_dir(spark, purpose)
-    return path if "://" in path else f"file://{path}"
+    return path_uri(spark, scratch_dir(spark, purpose))
 
 
 def q_pooled_append(spark: SparkSession, sf_dir: str) -> DataFrame:

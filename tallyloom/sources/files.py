@@ -62,6 +62,13 @@ def _located(spark: SparkSession, path: str):
     return located.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), located
 
 
+def path_uri(spark: SparkSession, path: str) -> str:
+    """The path with its file system's scheme, as libraries other than Spark need it."""
+    fs, located = _located(spark, path)
+    uri = fs.makeQualified(located).toString()
+    return uri if "://" in uri else uri.replace(":/", ":///", 1)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, located = _located(spark, path)
     return fs.exists(located)

@@ -1 +1 @@
-"""Structured Streaming sources, sinks and pipelines."""
+"""Structured Streaming sources, sinks and flows."""

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from tallyloom.operators.posts import (
     POSTS_PER_TOPIC,
     bind_types,
-    popular_posts,
     post_tuple,
     posts_of_places,
     project_post,

@@ -273,6 +273,11 @@ def test_scratch_dir_needs_a_shared_folder_on_a_cluster(spark):
         scratch_dir(Cluster, "x")
 
 
+def test_path_uri(spark):
+    assert files.path_uri(spark, "/tmp/x") == "file:///tmp/x"
+    assert files.path_uri(spark, "file:///tmp/x") == "file:///tmp/x"
+
+
 def test_spread_small(spark, tmp_path):
     path = str(tmp_path / "small")
     spark.range(200_000).selectExpr("id", "uuid() AS u").coalesce(1).write.parquet(path)
