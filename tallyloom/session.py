@@ -104,7 +104,7 @@ def state_partitions(spark: SparkSession) -> int:
 
 # A scan below this size may sit in one row group and so in one task.
 SMALL_SCAN_BYTES = 256 << 20
-SPREAD_BYTES = 1 << 20
+SPREAD_BYTES = 1 << 18
 
 
 def planned_bytes(rows: DataFrame) -> int:
