@@ -73,7 +73,8 @@ def ship_package(spark: SparkSession) -> SparkSession:
 
 
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """Whether driver and executors are one process; ``local-cluster`` is not."""
+    return spark.sparkContext.master.split("[")[0] == "local"
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
@@ -94,6 +95,17 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(rows: DataFrame, purpose: str) -> DataFrame:
+    """Write rows as a table in the shared folder and read it back.
+
+    This cuts the lineage: later steps survive lost executors without redoing the
+    work above, and see the same rows each time.
+    """
+    path = scratch_dir(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def state_partitions(spark: SparkSession) -> int:
     """Partition count for stream state, which AQE cannot coalesce later."""
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))

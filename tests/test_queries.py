@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from tallyloom.plans import all_oracles, all_queries
 from tests.compare import connect, mismatch
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = {name: contract.queries()[name] for name in all_queries()}
+ORACLES = all_oracles()
 
 
 @pytest.fixture(scope="module")
