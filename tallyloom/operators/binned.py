@@ -1,4 +1,4 @@
-"""Join against a collection that is split into hash bins, each small enough to broadcast."""
+"""Join against a collection that is split into hash bins."""
 
 from __future__ import annotations
 
@@ -7,9 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_BIN_BYTES = 64 << 20
-MAX_PASSES = 4
-
 
 def hash_bin(key: str, num_bins: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(num_bins)).cast("int")
@@ -38,41 +35,32 @@ def bin_sizes(rows: DataFrame, key: str, num_bins: int) -> DataFrame:
     )
 
 
-def binned_join(
-    rows: DataFrame,
-    collection: DataFrame,
-    key: str,
-    num_bins: int = 1,
-    max_bin_bytes: int = MAX_BIN_BYTES,
-    max_passes: int = MAX_PASSES,
-) -> DataFrame:
-    """Inner join on ``key``, always equal to the ordinary join.
-
-    The collection's bins are measured first. If every bin is within
-    ``max_bin_bytes`` and there are at most ``max_passes`` of them, each bin is
-    broadcast to the rows of its own hash, which reads ``rows`` once per bin but
-    never shuffles them. Otherwise it is a shuffle join, which AQE splits on skew.
+def binned_join(rows: DataFrame, collection: DataFrame, key: str, num_bins: int = 1) -> DataFrame:
+    """Inner join on ``key`` by way of ``num_bins`` hash bins; equal to the ordinary join.
+
+    Both sides are keyed by bin and key and read once. Whether the collection is small
+    enough to be broadcast is left to Spark; else AQE splits skewed partitions.
     """
     if num_bins < 1:
         raise ValueError("num_bins must be at least 1")
-    if num_bins <= max_passes:
-        sizes = bin_sizes(collection, key, num_bins).agg(F.max("n_bytes")).first()
-        if (sizes[0] or 0) <= max_bin_bytes:
-            return _broadcast_bins(rows, collection, key, num_bins)
-    return rows.join(collection, key)
+    binned = [side.withColumn("_bin", hash_bin(key, num_bins)) for side in (rows, collection)]
+    return binned[0].join(binned[1], ["_bin", key]).drop("_bin")
 
 
-def _broadcast_bins(rows: DataFrame, collection: DataFrame, key: str, num_bins: int) -> DataFrame:
-    joined = []
-    for number in range(num_bins):
-        in_bin = hash_bin(key, num_bins) == number if num_bins > 1 else F.lit(True)
-        joined.append(rows.where(in_bin).join(F.broadcast(collection.where(in_bin)), key))
-    return reduce(DataFrame.unionByName, joined)
+RUN = 1_000
 
 
 def triangular_pairs(rows: DataFrame, n: str, first: str = "i", second: str = "j") -> DataFrame:
-    """Dependent generator: for each row, ``j`` from 1 to ``i``; no join."""
-    i = F.col(n)
-    return rows.where(i >= 1).select(
-        "*", i.alias(first), F.explode(F.sequence(F.lit(1).cast(rows.schema[n].dataType), i)).alias(second)
+    """Dependent generator: for each row, ``j`` from 1 to ``i``; no join.
+
+    Numbers are written out in runs of at most ``RUN``, so no row ever holds all of them.
+    """
+    kind = rows.schema[n].dataType
+    runs = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(CAST(`{n}` AS BIGINT) - 1) DIV {RUN}"))
+    last = F.least(F.col(n).cast("bigint"), (F.col("_run") + 1) * RUN)
+    return (
+        rows.where(F.col(n) >= 1)
+        .withColumn("_run", F.explode(runs))
+        .withColumn("_j", F.explode(F.sequence(F.col("_run") * RUN + 1, last)))
+        .select(*rows.columns, F.col(n).alias(first), F.col("_j").cast(kind).alias(second))
     )

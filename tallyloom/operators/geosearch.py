@@ -23,7 +23,7 @@ def points_in_cell(points: DataFrame, bits: str, prefix: str) -> DataFrame:
     return points.where(in_cell(F.col(bits), prefix))
 
 
-def nearest_in_cell(
+def nearest_points(
     points: DataFrame,
     bits: str,
     prefix: str,
@@ -32,18 +32,22 @@ def nearest_in_cell(
     k: int,
     tie_break: Sequence[Column],
 ) -> DataFrame:
-    """The k points of a cell closest to ``target``, numbered in ``rank``.
+    """The k points closest to ``target``, numbered in ``rank``; exact.
 
-    Exact within the cell only: a closer point beyond the cell's edge is not seen.
+    The k-th distance within the target's own cell bounds the search: only points within
+    that distance in every dimension are looked at again, whatever cell they are in. A
+    cell of fewer than k points gives no bound.
     """
-    terms = [(c - F.lit(float(t))) * (c - F.lit(float(t))) for c, t in zip(coordinates, target)]
-    distance = sum(terms[1:], terms[0])
-    best = (
-        points_in_cell(points, bits, prefix)
-        .withColumn("distance", distance)
-        .orderBy("distance", *tie_break)
-        .limit(k)
-    )
+    offsets = [c - F.lit(float(t)) for c, t in zip(coordinates, target, strict=True)]
+    squares = [d * d for d in offsets]
+    distance = sum(squares[1:], squares[0])
+    near = points_in_cell(points, bits, prefix).select(distance.alias("d")).orderBy("d").limit(k)
+    known = near.agg(F.max("d").alias("far"), F.count("d").alias("n")).first()
+    candidates = points
+    if known["n"] == k:
+        for d in squares:
+            candidates = candidates.where(d <= known["far"])
+    best = candidates.withColumn("distance", distance).orderBy("distance", *tie_break).limit(k)
     # At most k rows are left, so one array of them can be sorted and numbered.
     row = F.struct("distance", *tie_break, F.struct("*").alias("row"))
     return (

@@ -14,11 +14,13 @@ from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tallyloom.session import stored
+
 Pairs = Iterable[tuple[Any, Any]]
 MapFunction = Callable[[Any, Any], Pairs]
 GroupFunction = Callable[[Any, Iterable[Any]], Pairs]
@@ -103,7 +105,9 @@ def _batches(pairs: Pairs, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
 
 
 def _group_key(key: Any) -> Any:
-    """Hashable stand-in for array and struct keys."""
+    """Hashable stand-in for a key; NaN equals NaN and -0.0 equals 0.0, also inside."""
+    if isinstance(key, float):
+        return "NaN" if key != key else key + 0.0
     if isinstance(key, list):
         return tuple(_group_key(item) for item in key)
     if isinstance(key, dict):
@@ -149,8 +153,9 @@ def _mapper(map_f: MapFunction, combine_f: GroupFunction | None, schema: pa.Sche
 
 def _reducer(reduce_f: GroupFunction, schema: pa.Schema):
     def reduced(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[Any, Any]]:
-        for key, rows in itertools.groupby(_rows(batches), key=lambda row: row[0]):
-            yield from reduce_f(key, (value for _, value in rows))
+        for _, rows in itertools.groupby(_rows(batches), key=lambda row: _group_key(row[0])):
+            key, value = next(rows)
+            yield from reduce_f(key, itertools.chain([value], (other for _, other in rows)))
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _batches(reduced(batches), schema)
@@ -170,6 +175,21 @@ def map_reduce_columns(
     return pairs.groupBy("key").agg(*[agg.alias(name) for name, agg in aggregates.items()])
 
 
+def regrouped(pairs: DataFrame, per_part: int = 100_000) -> DataFrame:
+    """Pairs shuffled by key: what identity map and reduce leave, row by row.
+
+    Such a reducer looks at one value at a time, so a key of many values is dealt to as
+    many parts as it has ``per_part`` values.
+    """
+    key, value = pairs.columns
+    share = F.pmod(F.xxhash64(F.col(f"`{value}`")), F.col("_parts"))
+    sizes = pairs.groupBy(F.col(f"`{key}`").alias("_key")).agg(
+        F.ceil(F.count(F.lit(1)) / per_part).alias("_parts")
+    )
+    spread = pairs.join(sizes, F.col(f"`{key}`").eqNullSafe(F.col("_key"))).withColumn("_share", share)
+    return spread.repartition(F.col(f"`{key}`"), F.col("_share")).select(*pairs.columns)
+
+
 def random_parts(rows: DataFrame, num_parts: int) -> DataFrame:
     """Spread rows evenly over ``num_parts`` partitions, whatever they hold.
 
@@ -184,39 +204,53 @@ def random_parts(rows: DataFrame, num_parts: int) -> DataFrame:
 def grouped_lists(pairs: DataFrame, max_values: int = 100_000) -> DataFrame:
     """Shuffle result ``key -> [values]`` as rows ``(key, chunk, values)``.
 
-    A key with at most ``max_values`` values has one row, chunk 0. A larger key
-    is split over several rows of about that size, so that neither a task nor a
-    row has to hold all of it. The split depends on the data alone: equal pairs
-    are counted first, a pair that repeats often is cut into runs, and the runs
-    are dealt out by hash. The order inside a list is not promised.
+    Values are in ascending order, nulls first. A row holds ``max_values`` of them, the
+    last row of a key the rest, and ``chunk`` numbers the rows of a key in that order: the
+    lists of a key one after the other are its whole sorted list, whatever the bound.
+
+    Equal pairs are counted first. The counts are dealt out by ranges of key and value,
+    so that a key with very many values lies in many tasks; a pair's place follows from
+    the totals of its key in the ranges before and the running total in its own.
     """
     key, value = pairs.columns
-    size = F.lit(max_values).cast("bigint")
-    counted = (
-        pairs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{value}`").alias("value"))
-        .groupBy("key", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+    named = pairs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{value}`").alias("value"))
+    counted = named.groupBy("key", "value").agg(F.count(F.lit(1)).alias("n"))
+    ranged = stored(
+        counted.repartitionByRange("key", "value").withColumn("part", F.spark_partition_id()),
+        "grouped-lists",
     )
-    hot = (
-        counted.groupBy("key")
+    before = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = (
+        ranged.groupBy("key", "part")
         .agg(F.sum("n").alias("total"))
-        .where(F.col("total") > size)
-        .select(F.col("key").alias("hot_key"), F.ceil(F.col("total") / size).alias("chunks"))
+        .select("key", "part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
+        .select(F.col("key").alias("_key"), F.col("part").alias("_part"), "base")
+    )
+    inside = (
+        Window.partitionBy("part", "key").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    placed = ranged.withColumn("_end", F.sum("n").over(inside)).join(
+        bases, (F.col("part") == F.col("_part")) & F.col("key").eqNullSafe(F.col("_key"))
     )
-    runs = counted.select(
-        "key",
-        "value",
-        "n",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, size)).alias("first"),
-    ).withColumn("copies", F.least(F.col("n") - F.col("first"), size).cast("int"))
-    spread = F.pmod(F.xxhash64("value", "first"), F.col("chunks")).cast("int")
+    end = F.col("base") + F.col("_end")
+    first = end - F.col("n")
+    runs = placed.select(
+        "key", "value", first.alias("first"), end.alias("end"),
+        F.explode(
+            F.sequence(F.expr(f"(base + _end - n) DIV {max_values}"), F.expr(f"(base + _end - 1) DIV {max_values}"))
+        ).alias("chunk"),
+    )
+    low = F.greatest("first", F.col("chunk") * max_values)
+    high = F.least("end", (F.col("chunk") + 1) * max_values)
+    parts = runs.select(
+        "key", F.col("chunk").cast("int").alias("chunk"),
+        F.struct(F.col("first"), F.array_repeat("value", (high - low).cast("int")).alias("run")).alias("part"),
+    )
     return (
-        runs.join(hot, F.col("key").eqNullSafe(F.col("hot_key")), "left")
-        .withColumn("chunk", F.coalesce(spread, F.lit(0)))
         # Not left to the join's partitioning, which would put a hot key in one task.
-        .repartition("key", "chunk")
+        parts.repartition("key", "chunk")
         .groupBy("key", "chunk")
-        .agg(F.flatten(F.collect_list(F.array_repeat("value", F.col("copies")))).alias("values"))
+        .agg(F.flatten(F.sort_array(F.collect_list("part"))["run"]).alias("values"))
     )
 
 

@@ -42,6 +42,7 @@ def sliding_counts(
     window_seconds: int = 60,
     slide_seconds: int = 20,
     weight: Column | None = None,
+    watermark: str | None = None,
 ) -> DataFrame:
     """Counts per key and window ``[win_start, win_start + window)``, batch or stream.
 
@@ -49,8 +50,12 @@ def sliding_counts(
     overlap, a batch is first counted per slide-wide pane, so that pane totals are
     copied into the windows that cover them and not every row. With few windows
     the copies merge in the partial aggregation and one shuffle is cheaper. A
-    stream keeps one aggregation, as update mode allows no second one after it.
+    stream keeps one aggregation, as update mode allows no second one after it. With a
+    ``watermark`` the state is bounded: a window is dropped, and appended once in append
+    mode, when the latest time is that much past its end. ``ts`` is then a TIMESTAMP.
     """
+    if watermark is not None:
+        rows = rows.withWatermark(ts, watermark)
     amount = F.lit(1).cast("bigint") if weight is None else weight.cast("bigint")
     window, slide = f"{window_seconds} seconds", f"{slide_seconds} seconds"
     key_columns = [F.col(key) for key in keys]

@@ -6,6 +6,7 @@ batch owns one partition of the stored table and replaces just that.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -13,20 +14,19 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.session import stored
 from tallyloom.sources.files import delete_path, list_names, path_exists, touch
 
 BATCH = "batch_id"
 
 
 def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Store rows as the batch's own partition; a repeated batch replaces it."""
-    (
-        rows.withColumn(BATCH, F.lit(int(batch_id)).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH)
-        .parquet(path)
-    )
+    """Store rows as the batch's own partition; a repeated batch replaces it.
+
+    The partition is cleared first, so a repeated batch that has no rows any more leaves
+    none.
+    """
+    rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={int(batch_id)}")
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
@@ -46,13 +46,21 @@ def join_or_reject(rows: DataFrame, lookup: DataFrame, on: str) -> tuple[DataFra
     return rows.join(lookup, on), rows.join(keys, on, "left_anti")
 
 
+RUN = "run"
+COMPACTED = "000000-compacted"
+
+
 @dataclass(frozen=True)
 class CountingUpsert:
     """Table of first sightings: the first row of a key stays, ``hits`` counts all.
 
-    ``order`` names the columns that order the rows of one batch. A batch is
-    reduced to one row per key and added to the table; readers fold the batches.
-    So a batch costs what it holds, not what the table holds.
+    ``order`` names the columns that order the rows of one batch. A batch is reduced to
+    one row per key and added to the table; readers fold the batches. So a batch costs
+    what it holds, not what the table holds.
+
+    Batches are kept per run. A run is what has one checkpoint: a repeated batch of a run
+    replaces itself, while a new checkpoint, which counts its batches from 0 again, is a
+    new run and adds to what is there. Runs are ordered by their first batch.
     """
 
     path: str
@@ -69,73 +77,112 @@ class CountingUpsert:
             .select(*self.keys, "_first.*", self.hits)
         )
 
-    def write(self, rows: DataFrame, batch_id: int) -> None:
-        write_batch(self.reduce_batch(rows), self.path, batch_id)
+    def write(self, rows: DataFrame, batch_id: int, run: str | None = None) -> None:
+        """Add a batch; ``run`` is the query's own id unless given."""
+        spark = rows.sparkSession
+        name = self._run_folder(spark, run or query_id(spark))
+        write_batch(self.reduce_batch(rows), f"{self._folder(spark)}/{RUN}={name}", batch_id)
 
     def read(self, spark: SparkSession) -> DataFrame:
         """Current rows: keys, first-seen columns, hits."""
-        return self._fold(read_batches(spark, self.path)).drop(BATCH)
+        return self._fold(read_batches(spark, self._folder(spark))).drop(RUN, BATCH)
 
-    def compact(self, spark: SparkSession, target: str) -> CountingUpsert:
-        """Fold all batches but the newest into one, in a new folder.
+    def compact(self, spark: SparkSession) -> None:
+        """Fold all batches but the newest into one, in a new generation of the table.
 
-        The newest batch is copied as it is, as the stream may still repeat it.
+        The newest batch of the newest run is copied as it is, as the stream may still
+        repeat it. Writers and readers follow the table to its new generation, as it
+        becomes current with one small file. Run it between two batches, for example in
+        the sink itself.
         """
-        stored = read_batches(spark, self.path)
-        newest = stored.agg(F.max(BATCH)).first()[0]
-        older = self._fold(stored.where(F.col(BATCH) < newest)).withColumn(
-            BATCH, F.lit(newest - 1).cast("bigint")
+        batches = read_batches(spark, self._folder(spark))
+        last = batches.agg(F.max(F.struct(RUN, BATCH)).alias("last")).select("last.*").first()
+        newest = (F.col(RUN) == last[RUN]) & (F.col(BATCH) == last[BATCH])
+        older = self._fold(batches.where(~newest)).withColumns(
+            {RUN: F.lit(COMPACTED), BATCH: F.lit(0).cast("bigint")}
+        )
+        number = self._generation(spark) + 1
+        rows = older.unionByName(batches.where(newest))
+        # A generation that was left half-written by an earlier try is replaced.
+        rows.repartition(BATCH, *self.keys).write.mode("overwrite").partitionBy(RUN, BATCH).parquet(
+            f"{self.path}/data-{number:06d}"
         )
-        rows = older.unionByName(stored.where(F.col(BATCH) == newest))
-        rows.repartition(BATCH, *self.keys).write.partitionBy(BATCH).parquet(target)
-        return CountingUpsert(target, self.keys, self.order, self.hits)
+        touch(spark, f"{self.path}/current/{number:06d}")
+
+    def _generation(self, spark: SparkSession) -> int:
+        names = list_names(spark, f"{self.path}/current")
+        return int(names[-1]) if names else 0
+
+    def _folder(self, spark: SparkSession) -> str:
+        return f"{self.path}/data-{self._generation(spark):06d}"
+
+    def _run_folder(self, spark: SparkSession, run: str) -> str:
+        """The run's folder name: its place among the runs and its id."""
+        names = [n.removeprefix(f"{RUN}=") for n in list_names(spark, self._folder(spark))]
+        known = [name for name in names if name.partition("-")[2] == run]
+        places = [int(name.partition("-")[0]) for name in names if name.partition("-")[0].isdigit()]
+        return known[0] if known else f"{max(places, default=0) + 1:06d}-{run}"
 
     def _kept(self, rows: DataFrame) -> list[str]:
-        return [c for c in rows.columns if c not in (*self.keys, self.hits, BATCH)]
+        return [c for c in rows.columns if c not in (*self.keys, self.hits, RUN, BATCH)]
 
-    def _fold(self, stored: DataFrame) -> DataFrame:
-        first = F.min_by(F.struct(*self._kept(stored), BATCH), F.struct(BATCH, *self.order))
+    def _fold(self, batches: DataFrame) -> DataFrame:
+        first = F.min_by(F.struct(*self._kept(batches), RUN, BATCH), F.struct(RUN, BATCH, *self.order))
         return (
-            stored.groupBy(*self.keys)
+            batches.groupBy(*self.keys)
             .agg(first.alias("_first"), F.sum(self.hits).alias(self.hits))
             .select(*self.keys, "_first.*", self.hits)
         )
 
 
+def query_id(spark: SparkSession) -> str:
+    """Id of the stream whose batch is being handled, the same for one checkpoint."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
 def replace_snapshot(rows: DataFrame, path: str, version: int) -> bool:
     """Make ``rows`` the table's content; no rows leave the old content.
 
-    The version is written beside the old one and becomes visible with one small
-    marker file, so that readers never see an empty or half-written table. Returns
-    whether the content changed.
+    Each attempt writes a folder of its own and becomes visible with one small marker file
+    that names it, so readers never see an empty or half-written table, and an attempt
+    that is repeated, has no rows or begins to count its versions anew spoils nothing.
+    Returns whether the content changed.
     """
     spark = rows.sparkSession
-    folder = f"{path}/data/version={int(version)}"
-    rows.write.mode("overwrite").parquet(folder)
+    attempt = f"version={int(version)}-{uuid.uuid4().hex}"
+    folder = f"{path}/data/{attempt}"
+    rows.write.parquet(folder)
     if spark.read.schema(rows.schema).parquet(folder).isEmpty():
+        delete_path(spark, folder)
         return False
-    touch(spark, f"{path}/committed/{int(version):020d}")
+    number = len(_markers(spark, path)) and int(_markers(spark, path)[-1].partition(".")[0]) + 1
+    touch(spark, f"{path}/committed/{number:020d}.{attempt}")
     return True
 
 
+def _markers(spark: SparkSession, path: str) -> list[str]:
+    return list_names(spark, f"{path}/committed")
+
+
 def snapshot_version(spark: SparkSession, path: str) -> int | None:
-    names = list_names(spark, f"{path}/committed")
-    return int(names[-1]) if names else None
+    """Version of the snapshot committed last."""
+    names = _markers(spark, path)
+    return int(names[-1].partition("=")[2].partition("-")[0]) if names else None
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    version = snapshot_version(spark, path)
-    if version is None:
+    names = _markers(spark, path)
+    if not names:
         raise FileNotFoundError(f"no snapshot in {path}")
-    return spark.read.parquet(f"{path}/data/version={version}")
+    return spark.read.parquet(f"{path}/data/{names[-1].partition('.')[2]}")
 
 
 def drop_old_snapshots(spark: SparkSession, path: str, keep: int = 2) -> None:
-    """Delete superseded versions once no reader uses them any more."""
-    names = list_names(spark, f"{path}/committed")
+    """Delete superseded snapshots once no reader uses them any more."""
+    names = _markers(spark, path)
     for name in names[: max(len(names) - keep, 0)]:
         delete_path(spark, f"{path}/committed/{name}")
-        delete_path(spark, f"{path}/data/version={int(name)}")
+        delete_path(spark, f"{path}/data/{name.partition('.')[2]}")
 
 
 def last_by_key(rows: DataFrame, keys: Sequence[str], version: Sequence[str]) -> DataFrame:
@@ -146,17 +193,17 @@ def last_by_key(rows: DataFrame, keys: Sequence[str], version: Sequence[str]) ->
 
 
 def upsert_by_key(
-    stored: DataFrame | None, incoming: DataFrame, keys: Sequence[str], version: Sequence[str]
+    current: DataFrame | None, incoming: DataFrame, keys: Sequence[str], version: Sequence[str]
 ) -> DataFrame:
-    """Content after ``incoming`` is put into ``stored``; the last write of a key wins.
+    """Content after ``incoming`` is put into ``current``; the last write of a key wins.
 
     Only the incoming rows are reduced by key; stored rows pass through an anti
     join.
     """
     fresh = last_by_key(incoming, keys, version)
-    if stored is None:
+    if current is None:
         return fresh
-    return stored.join(fresh.select(*keys), list(keys), "left_anti").unionByName(fresh)
+    return current.join(fresh.select(*keys), list(keys), "left_anti").unionByName(fresh)
 
 
 def key_range_bucket(key: Column, split_points: Sequence[str]) -> Column:
@@ -207,25 +254,38 @@ def insert_new_offsets(
 ) -> None:
     """Append the records whose (topic, partition, offset) is not stored yet.
 
-    The store is split by ranges of offsets; only the ranges that the batch
-    touches are read to find what is there. A repeated batch adds nothing.
+    The store has a folder per topic, partition and range of offsets. To find what is
+    there, only the folders between the first and last range of each partition of the
+    batch are read. A repeated batch adds nothing.
     """
     spark = records.sparkSession
     key = [topic, partition, offset]
-    offset_range = F.expr(f"`{offset}` div {int(range_size)}")
-    ranged = records.dropDuplicates(key).withColumn("offset_range", offset_range)
+    places = {
+        "in_topic": F.col(topic).cast("string"),
+        "in_partition": F.col(partition).cast("string"),
+        "offset_range": F.expr(f"`{offset}` div {int(range_size)}"),
+    }
+    fresh = stored(records.dropDuplicates(key).withColumns(places), "offsets-batch")
     if path_exists(spark, path):
-        span = records.agg(F.min(offset_range), F.max(offset_range)).first()
-        if span[0] is None:
-            return
-        known = (
-            spark.read.parquet(path)
-            .where(F.col("offset_range").between(span[0], span[1]))
-            .select(*key)
+        fresh = fresh.join(touched_ranges(fresh, path).select(*key), key, "left_anti")
+    fresh.write.mode("append").partitionBy(*places).parquet(path)
+
+
+def touched_ranges(batch: DataFrame, path: str) -> DataFrame:
+    """What the store holds of the ranges that a batch touches, read from their folders."""
+    # One row per partition of the log.
+    spans = batch.groupBy("in_topic", "in_partition").agg(
+        F.min("offset_range").alias("low"), F.max("offset_range").alias("high")
+    )
+    touched = F.lit(False)
+    for span in spans.collect():
+        touched = touched | (
+            F.col("in_topic").eqNullSafe(span["in_topic"])
+            & F.col("in_partition").eqNullSafe(span["in_partition"])
+            & F.col("offset_range").between(span["low"], span["high"])
         )
-        ranged = ranged.join(known, key, "left_anti")
-    ranged.write.mode("append").partitionBy("offset_range").parquet(path)
+    return batch.sparkSession.read.schema(batch.schema).parquet(path).where(touched)
 
 
 def read_offsets(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("offset_range")
+    return spark.read.parquet(path).drop("in_topic", "in_partition", "offset_range")

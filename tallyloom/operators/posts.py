@@ -6,9 +6,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.functions.text import hashtag_list, hashtags_text
 from tallyloom.functions.times import from_second_text, to_second_text
+from tallyloom.operators.merge import join_or_reject
 from tallyloom.operators.topk import top_k_per_group, top_k_wide_rows
 
 # The top-level post fields that the projection copies.
@@ -52,8 +54,10 @@ NESTED_POST_SCHEMA = """
 
 
 def _field(posts: DataFrame, name: str) -> Column:
-    """A top-level field, or null if these posts do not have it."""
-    return F.col(name) if name in posts.columns else F.lit(None).alias(name)
+    """A top-level field, or a null of its type if these posts do not have it."""
+    if name in posts.columns:
+        return F.col(name)
+    return F.lit(None).cast(T.StructType.fromDDL(NESTED_POST_SCHEMA)[name].dataType).alias(name)
 
 
 def short_post(posts: DataFrame) -> DataFrame:
@@ -134,11 +138,21 @@ def posts_of_places(
 ) -> DataFrame:
     """Place -> its trends -> their popular posts, place and topic carried along.
 
-    The posts of a topic do not depend on the place, so each topic's posts are cut
-    to the popular ones before they are joined to the places.
+    Only posts of the places' topics are looked at. The posts of a topic do not depend on
+    the place, so they are cut to the popular ones before they are joined to the places.
     """
-    best = popular_posts(posts, topic, **popular)
-    return places.join(trends, "place").join(best, topic)
+    wanted = places.join(trends, "place")
+    asked = posts.join(wanted.select(topic).distinct(), topic, "left_semi")
+    return wanted.join(popular_posts(asked, topic, **popular), topic)
+
+
+def unmatched_places(places: DataFrame, trends: DataFrame, posts: DataFrame, topic: str) -> DataFrame:
+    """``(place, topic)`` that lead to no post: places without trends, with a null topic,
+    and topics of the places without posts."""
+    found, without_trends = join_or_reject(places, trends, "place")
+    _, without_posts = join_or_reject(found, posts.select(topic).distinct(), topic)
+    no_topic = F.lit(None).cast(trends.schema[topic].dataType).alias(topic)
+    return without_trends.select("place", no_topic).unionByName(without_posts.select("place", topic))
 
 
 def nest_posts(

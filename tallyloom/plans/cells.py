@@ -11,33 +11,40 @@ from tallyloom.sources import cells
 from tallyloom.sources.tables import EVENT_TYPES, customer_cells, event_cells, table
 
 
+# Paths of stored tables by application and input.
+_STORED: dict[tuple[str, str], str] = {}
+
+
 def q_cells_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_dir(spark, "cells")
-    cells.write_cells(customer_cells(spark, sf_dir), path)
-    return cells.scan(spark, path)
+    return cells.scan(spark, _stored_cells(spark, sf_dir))
+
+
+def _stored_cells(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the customers' cells as a sorted table, written once per session and input."""
+    written = (spark.sparkContext.applicationId, sf_dir)
+    if written not in _STORED:
+        _STORED[written] = scratch_dir(spark, "cells")
+        cells.write_cells(customer_cells(spark, sf_dir), _STORED[written])
+    return _STORED[written]
 
 
 def q_cells_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = customer_cells(spark, sf_dir)
+    rows = cells.scan(spark, _stored_cells(spark, sf_dir))
     return cells.key_range(rows, "Customer#000000100", "Customer#000000200")
 
 
 def q_cells_get(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = cells.get_rows(customer_cells(spark, sf_dir), "Customer#000000007")
-    return cells.row_map(found).select(
-        "row_key",
-        *[F.col("row")[name].alias(name.replace(":", "_")) for name in
-          ("info:nationkey", "info:segment", "acct:balance")],
-    )
+    found = cells.get_rows(cells.scan(spark, _stored_cells(spark, sf_dir)), "Customer#000000007")
+    return cells.row_columns(found, ["info:nationkey", "info:segment", "acct:balance"])
 
 
 def q_cells_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cells.get_rows(customer_cells(spark, sf_dir), "Customer#00000001*", "info")
+    return cells.get_rows(cells.scan(spark, _stored_cells(spark, sf_dir)), "Customer#00000001*", "info")
 
 
 def q_cells_multi_get(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = "Customer#000000012/Customer#00000001*/Customer#000000099"
-    return cells.get_rows(customer_cells(spark, sf_dir), keys)
+    return cells.get_rows(cells.scan(spark, _stored_cells(spark, sf_dir)), keys)
 
 
 def q_cells_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,11 +52,11 @@ def q_cells_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_cells_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = cells.nested_rows(cells.latest(customer_cells(spark, sf_dir)))
+    rows = cells.nested_rows(cells.latest(customer_cells(spark, sf_dir)), 2)
     shown = F.transform(
         "row", lambda c: F.concat_ws(":", c["family"], c["qual"], c["value"], c["timestamp"])
     )
-    return rows.select("key", F.array_join(shown, ";").alias("cells"))
+    return rows.select("key", "chunk", F.array_join(shown, ";").alias("cells"))
 
 
 def _rest_cell(name: str, ts: int, value: Column) -> Column:
@@ -75,12 +82,13 @@ def q_cells_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_cells_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     overdrawn = table(spark, sf_dir, "customer").where(F.col("c_acctbal") < 0)
     keys = overdrawn.select(F.col("c_name").alias("row_key"))
-    return cells.delete_rows(customer_cells(spark, sf_dir), keys)
+    path = _stored_cells(spark, sf_dir)
+    return cells.delete_stored(spark, path, keys, scratch_dir(spark, "cells-deleted"))
 
 
 def q_cell_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     newest = cells.latest(event_cells(spark, sf_dir), F.col("event_id"))
-    return cell_pivot(newest, EVENT_TYPES)
+    return cell_pivot(newest, EVENT_TYPES, family="value")
 
 
 def q_axis_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,10 +160,12 @@ ORACLES = {
     """,
     "cells_latest": _EVENT_LATEST,
     "cells_nested": f"""
-        SELECT row_key AS key,
+        SELECT row_key AS key, CAST((rn - 1) // 2 AS INTEGER) AS chunk,
                string_agg(family || ':' || qualifier || ':' || value || ':' || ts, ';'
                           ORDER BY family, qualifier) AS cells
-        FROM ({_LATEST}) GROUP BY row_key
+        FROM (SELECT *, row_number() OVER (PARTITION BY row_key ORDER BY family, qualifier) AS rn
+              FROM ({_LATEST}))
+        GROUP BY row_key, chunk
     """,
     "cells_decode": """
         SELECT c_name AS row_key, 'info' AS family, 'segment' AS qualifier,

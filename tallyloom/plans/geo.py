@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from tallyloom.functions.encoding import base16_bits, base32_bits
 from tallyloom.functions.geo import nearest_place
 from tallyloom.functions.geohash import geohash_bits
-from tallyloom.operators.geosearch import cell_of, nearest_in_cell, points_in_cell
+from tallyloom.operators.geosearch import cell_of, nearest_points, points_in_cell
 from tallyloom.sources.files import places_rows
-from tallyloom.sources.tables import PLACES, customer_points, vectors
+from tallyloom.sources.tables import PLACES, VECTOR_SIZE, customer_points, table, vectors
 
-DIMENSIONS = 3
+DIMENSIONS = VECTOR_SIZE
 DIGITS = 4
 RANGES = [(-1.0, 1.0)] * DIMENSIONS
 AXES = [f"x{i}" for i in range(DIMENSIONS)]
@@ -50,7 +50,7 @@ def q_geohash_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     prefix = cell_of(spark, RANGES, 1, target)
     axes = [F.col(axis) for axis in AXES]
     points = _hashed(spark, sf_dir)
-    found = nearest_in_cell(points, "bits", prefix, axes, target, 5, [F.col("vec_id")])
+    found = nearest_points(points, "bits", prefix, axes, target, 5, [F.col("vec_id")])
     return found.select("vec_id", "rank")
 
 
@@ -59,6 +59,13 @@ def q_geohash_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hashed(spark, sf_dir).groupBy(cell).agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_geohash_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hash of the whole array; an array of another length is refused."""
+    whole = F.transform("embedding", lambda x: x.cast("double"))
+    bits = geohash_bits(RANGES, 2, whole)
+    return table(spark, sf_dir, "embeddings").select("vec_id", bits.alias("bits"))
+
+
 def q_nearest_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = nearest_place(PLACES, F.col("lat"), F.col("long")).alias("place")
     return customer_points(spark, sf_dir).select("c_custkey", place)
@@ -79,12 +86,13 @@ QUERIES = {
     "geohash_prefix": q_geohash_prefix,
     "geohash_knn": q_geohash_knn,
     "geohash_cells": q_geohash_cells,
+    "geohash_checked": q_geohash_checked,
     "nearest_place": q_nearest_place,
     "place_rows": q_place_rows,
 }
 
 
-def _halving_sql() -> str:
+def _halving_sql(digits: int = 4) -> str:
     """Chain of subselects, one halving of every dimension per level."""
     sql = "SELECT vec_id, " + ", ".join(
         f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}, "
@@ -92,7 +100,7 @@ def _halving_sql() -> str:
         for i in range(DIMENSIONS)
     )
     sql += ", '' AS bits FROM embeddings"
-    for _ in range(DIGITS):
+    for _ in range(digits):
         columns = ["vec_id"]
         bits = ["bits"]
         for i in range(DIMENSIONS):
@@ -125,6 +133,7 @@ def _letters(alphabet: str, width: int, padded: int) -> str:
 _BYTE_BITS = -(-_WIDTH // 8) * 8
 _B16 = _letters("0123456789ABCDEF", 4, _BYTE_BITS)
 _B32 = _letters("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 5, -(-_BYTE_BITS // 5) * 5)
+_B32_LENGTH = -(-_BYTE_BITS // 40) * 8
 _CELL = f"substr(bits, 1, {DIMENSIONS}) = (SELECT substr(bits, 1, {DIMENSIONS}) FROM h WHERE vec_id = 0)"
 _SQUARES = " + ".join(f"(h.x{i} - q.x{i}) * (h.x{i} - q.x{i})" for i in range(DIMENSIONS))
 _POINT = "36.0::DOUBLE + (c_custkey % 80) / 10.0::DOUBLE", "-9.0::DOUBLE + (c_custkey % 120) / 10.0::DOUBLE"
@@ -133,19 +142,19 @@ ORACLES = {
     "geohash_bits": f"SELECT vec_id, bits FROM ({_BITS})",
     "geohash_b16": f"SELECT vec_id, {_B16} AS hash FROM ({_BITS})",
     "geohash_b32": f"""
-        SELECT vec_id, rpad({_B32}, 8, '=') AS hash FROM ({_BITS})
+        SELECT vec_id, rpad({_B32}, {_B32_LENGTH}, '=') AS hash FROM ({_BITS})
     """,
     "geohash_prefix": f"WITH h AS ({_BITS}) SELECT vec_id, bits FROM h WHERE {_CELL}",
     "geohash_knn": f"""
         WITH h AS ({_BITS}), q AS (SELECT * FROM h WHERE vec_id = 0)
         SELECT h.vec_id,
                CAST(row_number() OVER (ORDER BY {_SQUARES}, h.vec_id) AS INTEGER) AS rank
-        FROM h, q WHERE substr(h.bits, 1, {DIMENSIONS}) = substr(q.bits, 1, {DIMENSIONS})
-        QUALIFY rank <= 5
+        FROM h, q QUALIFY rank <= 5
     """,
     "geohash_cells": f"""
         SELECT substr(bits, 1, {DIMENSIONS * 2}) AS cell, count(*) AS n FROM ({_BITS}) GROUP BY 1
     """,
+    "geohash_checked": f"SELECT vec_id, bits FROM ({_halving_sql(2)})",
     "nearest_place": f"""
         SELECT c_custkey, arg_min(name, km) AS place FROM (
             SELECT c_custkey, p.name,

@@ -17,11 +17,11 @@ from tallyloom.operators.offsets import (
 )
 from tallyloom.operators.stages import python_stage
 from tallyloom.operators.ticks import tick_times, ticked_places
-from tallyloom.session import scratch_dir, spread_small
+from tallyloom.session import scratch_dir
 from tallyloom.sources.payload import parse_payload
 from tallyloom.sources.tables import PLACES, event_log, table
 from tallyloom.streaming.sinks import append_sink, offsets_sink, run_available
-from tallyloom.streaming.sources import looped, table_stream, ticks
+from tallyloom.streaming.sources import looped, table_stream, tick_batches
 
 
 def q_batch_offset_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +86,7 @@ def q_loop_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     sink = looped(docs, append_sink(f"{base}/table"))
     for _ in range(2):
-        run_available(ticks(spark, 0.1), sink, f"{base}/checkpoint")
+        run_available(tick_batches(spark), sink, f"{base}/checkpoint")
     stored = read_batches(spark, f"{base}/table")
     return stored.groupBy("doc_id", "lang", "source").agg(
         F.count(F.lit(1)).alias("n"), F.count("timestamp").alias("stamped")
@@ -107,7 +107,7 @@ class _EvenNumbers:
 
 def q_python_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = event_log(spark, sf_dir).select("partition", "offset", "value")
-    return python_stage(spread_small(log), _EvenNumbers, "partition int, offset bigint, k bigint")
+    return python_stage(log, _EvenNumbers, "partition int, offset bigint, k bigint")
 
 
 QUERIES = {
@@ -159,7 +159,9 @@ ORACLES = {
     """,
     "ticked_places": f"""
         SELECT t.tick, p.place
-        FROM (SELECT DISTINCT time_bucket(INTERVAL 10 seconds, ts) AS tick FROM events) t,
+        FROM (SELECT unnest(generate_series(min(time_bucket(INTERVAL 10 seconds, ts)),
+                     max(time_bucket(INTERVAL 10 seconds, ts)), INTERVAL 10 seconds)) AS tick
+              FROM events) t,
              (VALUES {", ".join(f"('{name}')" for name in PLACES)}) p(place)
     """,
     "loop_documents": """

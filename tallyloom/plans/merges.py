@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.operators.merge import CountingUpsert, read_batches, read_snapshot, replace_snapshot
 from tallyloom.session import scratch_dir
 from tallyloom.sources.cells import counter_cells
-from tallyloom.sources.files import csv_table, path_uri
+from tallyloom.sources.files import csv_table
 from tallyloom.sources.tables import table
-from tallyloom.streaming.sinks import FolderConnection, append_sink, run_available, send_partitions
+from tallyloom.streaming.sinks import append_sink, run_available
 from tallyloom.streaming.sources import table_stream
 
 
@@ -21,22 +19,31 @@ def _batch(events: DataFrame, number: int) -> DataFrame:
 
 
 def q_sighting_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches of two runs, one of them repeated, one repeated without rows."""
     hour = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
     events = table(spark, sf_dir, "events").withColumn("hour", hour)
     slim = events.select("user_id", "hour", "event_id", "event_type", "value")
     store = CountingUpsert(f"{scratch_dir(spark, 'sightings')}/table", ["user_id", "hour"], ["event_id"])
-    for number in (0, 1, 1, 2):
-        store.write(_batch(slim, number), number)
+    store.write(_batch(slim, 0), 0, "first")
+    store.write(_batch(slim, 1), 1, "first")
+    store.write(_batch(slim, 1).limit(0), 1, "first")
+    # A new checkpoint counts its batches from 0 again.
+    store.write(_batch(slim, 1), 0, "second")
+    store.write(_batch(slim, 1), 0, "second")
+    store.compact(spark)
+    store.write(_batch(slim, 1), 0, "second")
+    store.write(_batch(slim, 2), 1, "second")
     return store.read(spark)
 
 
 def q_snapshot_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots, one repeated without rows, and one of a new count of versions."""
     path = scratch_dir(spark, "snapshot")
     events = table(spark, sf_dir, "events")
     counts = events.groupBy(F.pmod("event_id", F.lit(3)).alias("batch"), "event_type", "user_id").agg(
         F.count(F.lit(1)).alias("n")
     )
-    for version, batch in enumerate([0, 1, 2, None]):
+    for version, batch in [(0, 0), (1, 1), (1, None), (2, 1), (0, 2), (1, None)]:
         rows = counts.where(F.col("batch").eqNullSafe(F.lit(batch)))
         shaped = rows.withColumn("user", F.col("user_id").cast("string"))
         replace_snapshot(counter_cells(shaped, "user", "event_type", "n"), path, version)
@@ -51,24 +58,21 @@ def q_append_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_batches(spark, f"{base}/table").drop("batch_id")
 
 
-def _shared_folder(spark: SparkSession, purpose: str) -> str:
-    return path_uri(spark, scratch_dir(spark, purpose))
-
-
 def q_pooled_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _shared_folder(spark, "pooled")
+    """Batches appended by Spark's own writer, one of them twice."""
+    folder = scratch_dir(spark, "batches")
     slim = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
-    connect = partial(FolderConnection, folder)
+    sink = append_sink(folder)
     for number in (0, 1, 1, 2):
-        rows = _batch(slim, number)
-        send_partitions(rows, number, connect, pool=folder, start_batch=connect().start_batch)
-    return spark.read.parquet(folder)
+        sink(_batch(slim, number), number)
+    return read_batches(spark, folder).drop("batch_id")
 
 
 def q_partition_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _shared_folder(spark, "partitions")
+    """All partitions appended by Spark's own writer."""
+    folder = scratch_dir(spark, "partitions")
     slim = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
-    send_partitions(slim, 0, partial(FolderConnection, folder))
+    slim.write.mode("append").parquet(folder)
     return spark.read.parquet(folder)
 
 

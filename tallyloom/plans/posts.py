@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.operators.merge import CountingUpsert, split_valid
+from tallyloom.operators.mentions import track_posts
+from tallyloom.operators.merge import CountingUpsert, read_batches, split_valid
 from tallyloom.operators.posts import (
     bind_types,
     nest_posts,
@@ -14,10 +15,11 @@ from tallyloom.operators.posts import (
     posts_of_places,
     project_post,
     short_post,
+    trend_names,
 )
 from tallyloom.session import scratch_dir
 from tallyloom.sources.tables import posts, table
-from tallyloom.streaming.sinks import counting_sink, run_available
+from tallyloom.streaming.sinks import append_sink, counting_sink, run_available
 from tallyloom.streaming.sources import table_stream
 from tallyloom.streaming.topics import place_posts_stream
 
@@ -134,6 +136,45 @@ def q_place_posts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_place_rejects_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places without trends and topics without posts, kept by the flow in a table."""
+    base = scratch_dir(spark, "place-rejects")
+    doc = table(spark, sf_dir, "documents")
+    stream = table_stream(spark, sf_dir, "documents.parquet", doc.select("source", "lang").schema)
+    flow = place_posts_stream(
+        places=stream.select(F.explode(F.array("source", "lang")).alias("place")),
+        trends=_place_trends(spark, sf_dir),
+        posts=_topic_posts(spark, sf_dir).where(F.col("lang") != "es").drop("place"),
+        topic="topic_name",
+        tie_break=["doc_id"],
+        count=3,
+        key=["doc_id"],
+    )
+    sink = flow.into(append_sink(f"{base}/posts"), f"{base}/rejects")
+    run_available(flow.stream, sink, f"{base}/checkpoint")
+    return read_batches(spark, f"{base}/rejects").select("place", "topic_name")
+
+
+def q_trend_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Name and query of the trends that each source writes in."""
+    trend = F.struct(F.col("lang").alias("name"), F.upper("lang").alias("query"), F.lit(1).alias("rank"))
+    trends = table(spark, sf_dir, "documents").groupBy("source").agg(
+        F.array_sort(F.collect_set(trend)).alias("trends")
+    )
+    shown = F.transform(trend_names(F.col("trends")), lambda t: F.concat_ws(":", t["name"], t["query"]))
+    return trends.select("source", F.array_join(shown, ",").alias("trends"))
+
+
+def q_tracked_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rate-limited stream of posts that mention a keyword."""
+    base = scratch_dir(spark, "tracked")
+    schema = table(spark, sf_dir, "documents").select("doc_id", "text").schema
+    stream = table_stream(spark, sf_dir, "documents.parquet", schema, max_files_per_trigger=1)
+    tracked = track_posts(stream, ["Que", "Der"]).select("doc_id")
+    run_available(tracked, append_sink(f"{base}/table"), f"{base}/checkpoint")
+    return read_batches(spark, f"{base}/table").drop("batch_id")
+
+
 QUERIES = {
     "popular_posts": q_popular_posts,
     "popular_posts_where": q_popular_posts_where,
@@ -146,10 +187,13 @@ QUERIES = {
     "rejected_posts": q_rejected_posts,
     "place_topic_posts": q_place_topic_posts,
     "place_posts_stream": q_place_posts_stream,
+    "place_rejects_stream": q_place_rejects_stream,
+    "trend_picks": q_trend_picks,
+    "tracked_stream": q_tracked_stream,
 }
 
 _CREATED = "TIMESTAMP '2014-03-02 00:00:00' + INTERVAL 1 day * (doc_id % 28)"
-_TAGS = "list_slice(string_split(text, ' '), 1, 3)"
+_TAGS = "list_filter(string_split(text, ' '), lambda word: regexp_matches(word, '^[A-Z]'))"
 
 
 def _ranked(topic: str, count: int, where: str = "true") -> str:
@@ -229,4 +273,16 @@ ORACLES = {
         JOIN ({_ranked("lang", 3)}) p ON p.topic = t.topic_name
         GROUP BY p.doc_id
     """,
+    "place_rejects_stream": """
+        SELECT DISTINCT source AS place, lang AS topic_name FROM documents WHERE lang = 'es'
+        UNION ALL SELECT DISTINCT lang, CAST(NULL AS VARCHAR) FROM documents
+    """,
+    "trend_picks": """
+        SELECT source, string_agg(lang || ':' || upper(lang), ',' ORDER BY lang) AS trends
+        FROM (SELECT DISTINCT source, lang FROM documents) GROUP BY source
+    """,
+    "tracked_stream": """
+        SELECT doc_id FROM documents
+        WHERE contains(text, 'Que') OR contains(text, 'que') OR contains(text, 'Der') OR contains(text, 'der')
+    """,
 }

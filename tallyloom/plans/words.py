@@ -10,22 +10,24 @@ from pyspark.sql import functions as F
 from tallyloom.functions.text import blank_tokens, space_tokens
 from tallyloom.operators.mapreduce import (
     grouped_lists,
-    identity_map,
-    identity_reduce,
+    key_sorted_lists,
     map_reduce,
     map_reduce_columns,
+    regrouped,
     token_counts,
 )
+from tallyloom.operators.merge import read_batches
 from tallyloom.operators.mentions import mention_counts, sliding_counts
 from tallyloom.operators.pivot import cell_pivot
-from tallyloom.session import scratch_dir, spread_small
+from tallyloom.session import scratch_dir
 from tallyloom.sources.cells import counter_cells
 from tallyloom.sources.tables import table, texts
-from tallyloom.streaming.sinks import latest_updates, run_available, updates_sink
+from tallyloom.streaming.sinks import append_sink, run_available
 from tallyloom.streaming.sources import table_stream
 
 KEYWORDS = ["The", "Que", "Der", "Les", "And"]
 LANGS = ["de", "en", "es", "fr"]
+FLUSH = "flush"
 
 
 def q_mention_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +36,7 @@ def q_mention_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_mention_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = mention_counts(table(spark, sf_dir, "documents"), KEYWORDS)
-    return cell_pivot(counter_cells(counts, "word", "lang", "n"), LANGS)
+    return cell_pivot(counter_cells(counts, "word", "lang", "n"), LANGS, family="mentions")
 
 
 def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +57,7 @@ def _total(key, values):
 
 def q_mr_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    pairs = spread_small(events.select("event_id", F.struct("event_type", "value")))
+    pairs = events.select("event_id", F.struct("event_type", "value"))
     return map_reduce(
         pairs,
         _type_and_cents,
@@ -74,8 +76,15 @@ def q_mr_sum_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_mr_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = table(spark, sf_dir, "events").select("event_type", "event_id")
-    return map_reduce(pairs, identity_map, identity_reduce, num_mappers=4)
+    return regrouped(table(spark, sf_dir, "events").select("event_type", "event_id"))
+
+
+def q_mr_key_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists of event ids per user, cut to ten per row, in key order."""
+    pairs = table(spark, sf_dir, "events").select("user_id", "event_id")
+    return key_sorted_lists(pairs, 10).select(
+        F.col("key").alias("user_id"), "chunk", F.array_join("values", ",").alias("ids")
+    )
 
 
 def _count_and_first(n, groups):
@@ -121,12 +130,20 @@ def q_sliding_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_sliding_mentions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = table(spark, sf_dir, "events").select("ts", "event_type").schema
-    events = table_stream(spark, sf_dir, "events.parquet", schema)
+    """Windows appended once they are closed; a last event a day on closes them all."""
     base = scratch_dir(spark, "sliding-mentions")
-    counted = sliding_counts(events, "ts", ["event_type"])
-    run_available(counted, updates_sink(f"{base}/updates"), f"{base}/checkpoint", "update")
-    return latest_updates(spark, f"{base}/updates", ["win_start", "event_type"], "n")
+    events = table(spark, sf_dir, "events").select("ts", "event_type")
+    flush = events.agg((F.max("ts") + F.make_dt_interval(days=F.lit(1))).alias("ts"))
+    flush.withColumn("event_type", F.lit(FLUSH)).write.parquet(f"{base}/flush")
+    streams = [
+        table_stream(spark, folder, name, events.schema)
+        for folder, name in ((sf_dir, "events.parquet"), (f"{base}/flush", "*.parquet"))
+    ]
+    timed = streams[0].unionByName(streams[1]).withColumn("ts", F.col("ts").cast("timestamp"))
+    counted = sliding_counts(timed, "ts", ["event_type"], watermark="1 minute")
+    run_available(counted, append_sink(f"{base}/closed"), f"{base}/checkpoint")
+    closed = read_batches(spark, f"{base}/closed").where(F.col("event_type") != FLUSH)
+    return closed.select(F.col("win_start").cast("timestamp_ntz").alias("win_start"), "event_type", "n")
 
 
 QUERIES = {
@@ -137,6 +154,7 @@ QUERIES = {
     "mr_sum": q_mr_sum,
     "mr_sum_columns": q_mr_sum_columns,
     "mr_identity": q_mr_identity,
+    "mr_key_sorted": q_mr_key_sorted,
     "mr_regroup": q_mr_regroup,
     "mr_grouped": q_mr_grouped,
     "sliding_mentions": q_sliding_mentions,
@@ -183,6 +201,13 @@ ORACLES = {
     "mr_sum": _SUM,
     "mr_sum_columns": _SUM,
     "mr_identity": "SELECT event_type, event_id FROM events",
+    "mr_key_sorted": """
+        SELECT user_id, CAST((rn - 1) // 10 AS INTEGER) AS chunk,
+               string_agg(event_id, ',' ORDER BY event_id) AS ids
+        FROM (SELECT user_id, event_id,
+                     row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events)
+        GROUP BY user_id, chunk
+    """,
     "mr_regroup": f"""
         SELECT n, count(*) AS words,
                array_to_string(list_slice(list_sort(list(word)), 1, 5), ' ') AS first_words

@@ -112,26 +112,3 @@ def state_partitions(spark: SparkSession) -> int:
     if is_local(spark):
         return min(configured, spark.sparkContext.defaultParallelism)
     return configured
-
-
-# A scan below this size may sit in one row group and so in one task.
-SMALL_SCAN_BYTES = 256 << 20
-SPREAD_BYTES = 1 << 18
-
-
-def planned_bytes(rows: DataFrame) -> int:
-    """Catalyst's size estimate of a plan; file sizes for a plain scan. Runs no job."""
-    return int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def spread_small(rows: DataFrame, limit: int = SMALL_SCAN_BYTES) -> DataFrame:
-    """Deal the rows of a small scan out to the cores ahead of costly row work.
-
-    A table beyond ``limit`` has files and row groups enough for every core and is
-    left as it is, so that no large table is shuffled for this.
-    """
-    size = planned_bytes(rows)
-    if size > limit:
-        return rows
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(max(min(cores, size // SPREAD_BYTES + 1), 1))

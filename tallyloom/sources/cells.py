@@ -90,30 +90,39 @@ def get_rows(
     return latest(out, tie_break)
 
 
-def _collected(cells: DataFrame, item: Column, max_cells: int) -> DataFrame:
-    """Rows ``(row_key, chunk, values)``; chunk 0 only, unless a row is very wide."""
-    lists = grouped_lists(cells.select("row_key", item.alias("item")), max_cells)
-    return lists.withColumnRenamed("key", "row_key")
+def row_columns(cells: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per row key with a column ``family_qualifier`` per named ``family:qualifier``.
+
+    ``cells`` holds one version per cell. Only the named cells are aggregated, so a row of
+    very many cells is no different from others; an absent cell is null.
+    """
+    named = F.concat_ws(":", "family", "qualifier")
+    values = [
+        F.max(F.when(named == name, F.col("value"))).alias(name.replace(":", "_")) for name in columns
+    ]
+    return cells.groupBy("row_key").agg(*values)
 
 
 def row_map(cells: DataFrame, max_cells: int = 100_000) -> DataFrame:
-    """One row per row key with a map ``family:qualifier -> value``.
+    """``(row_key, chunk, row)`` with maps ``family:qualifier -> value`` in name order.
 
     ``cells`` holds one version per cell. A row of more than ``max_cells`` cells is
-    split over several chunks.
+    split over several chunks, in order (see ``grouped_lists``).
     """
     entry = F.struct(F.concat_ws(":", "family", "qualifier").alias("key"), F.col("value"))
-    rows = _collected(cells, entry, max_cells)
-    return rows.select("row_key", "chunk", F.map_from_entries("values").alias("row"))
+    lists = grouped_lists(cells.select("row_key", entry.alias("item")), max_cells)
+    return lists.select(
+        F.col("key").alias("row_key"), "chunk", F.map_from_entries("values").alias("row")
+    )
 
 
 def nested_rows(cells: DataFrame, max_cells: int = 100_000) -> DataFrame:
-    """Decoded row shape ``{key, row: [{family, qual, value, timestamp}]}``, chunked alike."""
+    """Decoded row shape ``{key, chunk, row: [{family, qual, value, timestamp}]}``, in order."""
     cell = F.struct(
         "family", F.col("qualifier").alias("qual"), "value", F.col("ts").alias("timestamp")
     )
-    rows = _collected(cells, cell, max_cells)
-    return rows.select(F.col("row_key").alias("key"), "chunk", F.array_sort("values").alias("row"))
+    lists = grouped_lists(cells.select("row_key", cell.alias("item")), max_cells)
+    return lists.select("key", "chunk", F.col("values").alias("row"))
 
 
 def decode_rest(responses: DataFrame, body: str = "body") -> DataFrame:
@@ -147,5 +156,11 @@ def put_cells(spark: SparkSession, rows: Sequence[tuple[str, str, str, int, str]
 
 
 def delete_rows(cells: DataFrame, row_keys: DataFrame) -> DataFrame:
-    """Cells without the rows named in ``row_keys``; write the result as a new version."""
+    """Cells without the rows named in ``row_keys``; see ``delete_stored``."""
     return cells.join(row_keys.select("row_key"), "row_key", "left_anti")
+
+
+def delete_stored(spark: SparkSession, path: str, row_keys: DataFrame, target: str) -> DataFrame:
+    """Store the table in ``path`` without some rows as a new version in ``target``."""
+    write_cells(delete_rows(scan(spark, path), row_keys), target, "overwrite")
+    return scan(spark, target)

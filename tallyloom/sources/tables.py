@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.session import spread_small
-
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 
+# Coordinates of an embedding.
+VECTOR_SIZE = 64
+
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 # The configured places with their coordinates.
@@ -35,7 +36,8 @@ def cents(amount: str) -> Column:
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as nested posts; ``doc_id`` is kept as the arrival number."""
     doc = table(spark, sf_dir, "documents")
-    words = F.slice(F.split("text", " "), 1, 3)
+    # A hashtag is any word of the whole text that begins with a capital letter.
+    words = F.filter(F.split("text", " "), lambda word: word.rlike("^[A-Z]"))
     return doc.select(
         "doc_id",
         "text",
@@ -108,15 +110,13 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Document columns for row work that is long against the scan."""
-    return spread_small(table(spark, sf_dir, "documents").select(*columns))
+    """Columns of the documents."""
+    return table(spark, sf_dir, "documents").select(*columns)
 
 
-def usage_facts(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+def usage_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as usage facts with host, domain, feature, date and three measures."""
     line = table(spark, sf_dir, "lineitem").drop("l_discount", "l_tax")
-    if spread:
-        line = spread_small(line)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     return line.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_returnflag").alias("host"),
@@ -145,8 +145,8 @@ def customer_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First three coordinates of the embeddings as doubles."""
+    """All coordinates of the embeddings as doubles, ``x0`` and so on."""
     return table(spark, sf_dir, "embeddings").select(
         "vec_id",
-        *[F.get("embedding", F.lit(i)).cast("double").alias(f"x{i}") for i in range(3)],
+        *[F.get("embedding", F.lit(i)).cast("double").alias(f"x{i}") for i in range(VECTOR_SIZE)],
     )

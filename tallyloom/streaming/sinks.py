@@ -2,16 +2,10 @@
 
 from __future__ import annotations
 
-import atexit
-import uuid
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 from typing import Any
 
-import pyarrow as pa
-import pyarrow.fs
-import pyarrow.parquet as pq
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -108,10 +102,20 @@ def snapshot_sink(path: str, shape: Callable[[DataFrame], DataFrame] = lambda ro
     return sink
 
 
-def counting_sink(store: CountingUpsert, valid=None, rejects: str | None = None) -> BatchSink:
-    """Counting upsert; rows that fail ``valid`` go to the ``rejects`` folder instead."""
+def counting_sink(
+    store: CountingUpsert,
+    valid=None,
+    rejects: str | None = None,
+    compact_every: int | None = None,
+) -> BatchSink:
+    """Counting upsert; rows that fail ``valid`` go to the ``rejects`` folder instead.
+
+    Every ``compact_every`` batches the store is compacted before the batch is written.
+    """
 
     def sink(rows: DataFrame, batch_id: int) -> None:
+        if compact_every and batch_id and batch_id % compact_every == 0:
+            store.compact(rows.sparkSession)
         if valid is None:
             store.write(rows, batch_id)
             return
@@ -125,98 +129,3 @@ def counting_sink(store: CountingUpsert, valid=None, rejects: str | None = None)
 
 def offsets_sink(path: str) -> BatchSink:
     return lambda rows, _batch_id: insert_new_offsets(rows, path)
-
-
-# Connections of this worker process by name, opened on first use.
-_POOL: dict[str, Any] = {}
-
-
-def pooled(name: str, connect: Callable[[], Any]) -> Any:
-    """The process-wide connection of that name, closed when the process ends."""
-    if name not in _POOL:
-        connection = connect()
-        atexit.register(connection.close)
-        _POOL[name] = connection
-    return _POOL[name]
-
-
-def send_partitions(
-    rows: DataFrame,
-    batch_id: int,
-    connect: Callable[[], Any],
-    pool: str | None = None,
-    start_batch: Callable[[int], None] | None = None,
-) -> int:
-    """Send every partition over a connection and return the number of rows sent.
-
-    ``connect()`` gives an object with ``insert(arrow_batches, name)`` and
-    ``close()``. ``name`` is the same when a task is retried, so the store can
-    replace what an earlier attempt left. One connection per partition, or one
-    per worker process with ``pool``. ``start_batch(batch_id)`` runs first, on the
-    driver: a whole batch that is repeated may be cut into other partitions, so
-    there the store removes all that the batch left before.
-    """
-    if start_batch is not None:
-        start_batch(batch_id)
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = next(iter(batches), None)
-        if first is None:
-            return
-        name = f"{_batch_name(batch_id)}{TaskContext.get().partitionId()}"
-        connection = pooled(pool, connect) if pool else connect()
-        counted = [0]
-
-        def counting() -> Iterator[pa.RecordBatch]:
-            for batch in _chain(first, batches):
-                counted[0] += batch.num_rows
-                yield batch
-
-        try:
-            connection.insert(counting(), name)
-        finally:
-            if not pool:
-                connection.close()
-        yield pa.RecordBatch.from_pydict({"sent": pa.array([counted[0]], pa.int64())})
-
-    sent = rows.mapInArrow(task, "sent bigint").agg(F.sum("sent")).first()[0]
-    return sent or 0
-
-
-def _batch_name(batch_id: int) -> str:
-    return f"batch-{batch_id}-part-"
-
-
-def _chain(first: pa.RecordBatch, rest: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    yield first
-    yield from rest
-
-
-class FolderConnection:
-    """A document store in a folder that all workers share: one file per insert."""
-
-    def __init__(self, folder: str):
-        self.fs, self.folder = pa.fs.FileSystem.from_uri(folder)
-        self.fs.create_dir(self.folder, recursive=True)
-
-    def insert(self, batches: Iterator[pa.RecordBatch], name: str) -> None:
-        # Written under a name of its own, then moved, so that two attempts of one
-        # task never share a file and readers never see half of one.
-        partial = f"{self.folder}/_{name}-{uuid.uuid4().hex}"
-        try:
-            first = next(batches)
-            with pq.ParquetWriter(partial, first.schema, filesystem=self.fs) as writer:
-                for batch in _chain(first, batches):
-                    writer.write_batch(batch)
-            self.fs.move(partial, f"{self.folder}/{name}.parquet")
-        except BaseException:
-            self.fs.delete_file(partial)
-            raise
-
-    def start_batch(self, batch_id: int) -> None:
-        for info in self.fs.get_file_info(pa.fs.FileSelector(self.folder)):
-            if info.base_name.startswith(_batch_name(batch_id)):
-                self.fs.delete_file(info.path)
-
-    def close(self) -> None:
-        pass

@@ -71,13 +71,24 @@ def json_posts(spark: SparkSession, folder: str, schema: str, max_files_per_trig
     return reader.json(folder)
 
 
-def ticks(spark: SparkSession, seconds: float) -> DataFrame:
-    """One row ``(tick, at)`` every ``seconds``."""
+def ticks(spark: SparkSession, seconds: int) -> DataFrame:
+    """One row ``(tick, at)`` every ``seconds`` of the clock, whatever the trigger.
+
+    A micro-batch that comes late gets all ticks since the one before.
+    """
+    clock = spark.readStream.format("rate").option("rowsPerSecond", 1).option("numPartitions", 1)
+    at_tick = F.pmod("value", F.lit(seconds)) == 0
+    return clock.load().where(at_tick).select(
+        F.expr(f"value div {int(seconds)}").alias("tick"), F.col("timestamp").alias("at")
+    )
+
+
+def tick_batches(spark: SparkSession) -> DataFrame:
+    """One row ``(tick, at)`` per micro-batch, for work that is paced by the trigger."""
     return (
         spark.readStream.format("rate-micro-batch")
         .option("rowsPerBatch", 1)
         .option("numPartitions", 1)
-        .option("advanceMillisPerBatch", max(int(seconds * 1000), 1))
         .load()
         .select(F.col("value").alias("tick"), F.col("timestamp").alias("at"))
     )

@@ -8,12 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.operators.merge import write_batch
 from tallyloom.operators.posts import (
     POSTS_PER_TOPIC,
     bind_types,
     post_tuple,
     posts_of_places,
     project_post,
+    unmatched_places,
 )
 from tallyloom.streaming.sinks import BatchSink
 
@@ -33,7 +35,7 @@ class PlacePosts:
     def rows(self, places: DataFrame) -> DataFrame:
         """Flat post rows of the places of one micro-batch, each place taken once.
 
-        A place or topic without a match is dropped; the other rows go on.
+        A place or topic without a match gives no row here; see ``rejected``.
         """
         found = posts_of_places(
             places.select("place").distinct(),
@@ -49,8 +51,20 @@ class PlacePosts:
         flat = project_post(shaped, keep=["_place", "_topic"])
         return bind_types(post_tuple(flat, F.col("_place"), F.col("_topic")))
 
-    def into(self, sink: BatchSink) -> BatchSink:
-        return lambda places, batch_id: sink(self.rows(places), batch_id)
+    def rejected(self, places: DataFrame) -> DataFrame:
+        """The places, and topics of places, of one micro-batch that have no posts."""
+        once = places.select("place").distinct()
+        return unmatched_places(once, self.trends, self.posts, self.topic)
+
+    def into(self, sink: BatchSink, rejects: str | None = None) -> BatchSink:
+        """Hand rows to ``sink`` and what is rejected to the table in ``rejects``."""
+
+        def both(places: DataFrame, batch_id: int) -> None:
+            sink(self.rows(places), batch_id)
+            if rejects is not None:
+                write_batch(self.rejected(places), rejects, batch_id)
+
+        return both
 
 
 def place_posts_stream(

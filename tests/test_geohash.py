@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.encoding import base16_bits, base32_bits
 from tallyloom.functions.geo import haversine_km, nearest_place
 from tallyloom.functions.geohash import geohash_bits, in_cell
-from tallyloom.operators.geosearch import cell_of, nearest_in_cell, points_in_cell
+from tallyloom.operators.geosearch import cell_of, nearest_points, points_in_cell
 from tallyloom.sources.tables import PLACES
 from tests.conftest import rows_of
 
@@ -18,16 +18,19 @@ WORLD = [(-180, 180), (-90, 90)]
 POINT = (-73.97, 40.78)
 
 
-def halving(ranges, digits, value):
-    bounds = [list(map(float, r)) for r in ranges]
-    bits = ""
-    for _ in range(digits):
-        for x, bound in zip(value, bounds):
-            middle = (bound[0] + bound[1]) / 2
-            bit = not x < middle
-            bits += "01"[bit]
-            bound[0 if bit else 1] = middle
-    return bits
+def cell_of_one(x: float, low: float, high: float, digits: int) -> int:
+    """Number of the cell of one dimension: in which half, and where within that half."""
+    if not digits:
+        return 0
+    middle, below = (low + high) / 2, 2 ** (digits - 1)
+    if x < middle:
+        return cell_of_one(x, low, middle, digits - 1)
+    return below + cell_of_one(x, middle, high, digits - 1)
+
+
+def woven(ranges, digits, value):
+    cells = [cell_of_one(x, float(r[0]), float(r[1]), digits) for r, x in zip(ranges, value)]
+    return "".join("".join(bits) for bits in zip(*[f"{cell:0{digits}b}" for cell in cells]))
 
 
 def one(spark, column):
@@ -72,7 +75,7 @@ def test_random_points(spark, ranges):
         encoded = [base16_bits(bits), base32_bits(bits), base16_bits(bits, length), base32_bits(bits, length)]
         for value, got, b16, b32, *fixed in hashed.select("v", "bits", *encoded).collect():
             assert fixed == [b16, b32]
-            want = halving(ranges, digits, value)
+            want = woven(ranges, digits, value)
             assert got == want
             padded = want.ljust(-(-len(want) // 8) * 8, "0")
             raw = int(padded, 2).to_bytes(len(padded) // 8, "big")
@@ -103,13 +106,13 @@ def test_prefix_search_and_nearest(spark):
     hashed = frame.withColumn("bits", geohash_bits(WORLD, 6, [F.col("x"), F.col("y")]))
     prefix = cell_of(spark, WORLD, 1, POINT)
     found = points_in_cell(hashed, "bits", prefix)
-    inside = [p for p in points if halving(WORLD, 1, p[1:]) == prefix]
+    inside = [p for p in points if woven(WORLD, 1, p[1:]) == prefix]
     assert {r["id"] for r in found.collect()} == {p[0] for p in inside}
-    best = nearest_in_cell(
+    best = nearest_points(
         hashed, "bits", prefix, [F.col("x"), F.col("y")], POINT, 4, [F.col("id")]
     )
     distance = lambda p: (p[1] - POINT[0]) ** 2 + (p[2] - POINT[1]) ** 2
-    want = sorted(inside, key=distance)[:4]
+    want = sorted(points, key=distance)[:4]
     assert [r["id"] for r in best.orderBy("rank").collect()] == [p[0] for p in want]
     assert one(spark, in_cell(F.lit("0110"), "01")) and not one(spark, in_cell(F.lit("10"), "01"))
 

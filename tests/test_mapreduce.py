@@ -9,17 +9,24 @@ from tallyloom.operators import mapreduce as mr
 from tallyloom.operators.stages import python_stage
 from tests.conftest import rows_of
 
+# Three texts and the counts of their words.
 DOCS = [(None, "hola que tal hola"), (None, "ey hola"), (None, "como estamos")]
 COUNTS = {"hola": 3, "que": 1, "tal": 1, "ey": 1, "como": 1, "estamos": 1}
 
 
-def words(_title, text):
-    for word in text.split(" "):
-        yield word, 1
+LONGEST = {"h": "hola", "q": "que", "t": "tal", "e": "estamos", "c": "como"}
 
 
-def total(word, counts):
-    yield word, sum(counts)
+def initials(_title, text):
+    yield from ((token[0], token) for token in text.split())
+
+
+def longest(letter, tokens):
+    yield letter, max(tokens, key=lambda token: (len(token), token))
+
+
+def total(key, numbers):
+    yield key, sum(numbers)
 
 
 @pytest.fixture(scope="module")
@@ -28,12 +35,12 @@ def docs(spark):
 
 
 @pytest.mark.parametrize("mappers", [None, 1, 3, 7])
-@pytest.mark.parametrize("combine", [None, total])
-def test_word_count_depends_on_neither_parts_nor_combiner(docs, mappers, combine):
-    counted = mr.map_reduce(
-        docs, words, total, combine, mapped_schema="word string, n bigint", num_mappers=mappers
+@pytest.mark.parametrize("combine", [None, longest])
+def test_result_depends_on_neither_parts_nor_combiner(docs, mappers, combine):
+    found = mr.map_reduce(
+        docs, initials, longest, combine, mapped_schema="letter string, word string", num_mappers=mappers
     )
-    assert dict(rows_of(counted)) == COUNTS
+    assert dict(rows_of(found)) == LONGEST
 
 
 def test_token_counts(docs, spark):
@@ -96,6 +103,33 @@ def test_combiner_keeps_a_small_buffer_of_hot_keys(monkeypatch):
     assert list(mr._combined(((7, 1) for _ in range(1000)), total)) == [(7, 1000)]
 
 
+@pytest.mark.parametrize("max_values", [2, 3, 100])
+def test_grouped_lists_have_one_order_for_every_bound(spark, max_values):
+    pairs = [("hot", i % 5) for i in range(40)] + [("hot", None), ("cold", 9), (None, 4)]
+    frame = spark.createDataFrame(pairs, "k string, v bigint")
+    rows = mr.grouped_lists(frame, max_values).orderBy("key", "chunk").collect()
+    hot = [r for r in rows if r["key"] == "hot"]
+    assert [v for r in hot for v in r["values"]] == [None] + sorted(i % 5 for i in range(40))
+    assert [r["chunk"] for r in hot] == list(range(-(-41 // max_values)))
+    assert {len(r["values"]) for r in hot[:-1]} <= {max_values}
+
+
+def test_nan_keys_are_one_group(spark):
+    nan = float("nan")
+    frame = spark.createDataFrame([(nan, 1), (nan, 2), (0.0, 3), (-0.0, 4)], "k double, v bigint")
+    for combine in (None, total):
+        out = mr.map_reduce(frame, reduce_f=total, combine_f=combine)
+        assert sorted(r["v"] for r in out.collect()) == [3, 7]
+    inner = frame.selectExpr("array(k) AS k", "v")
+    assert sorted(r["v"] for r in mr.map_reduce(inner, reduce_f=total).collect()) == [3, 7]
+
+
+def test_regrouped_keeps_the_pairs(spark):
+    pairs = [("a", i) for i in range(50)] + [(None, 1), (None, 1)]
+    frame = spark.createDataFrame(pairs, "k string, v bigint")
+    assert Counter(tuple(r) for r in mr.regrouped(frame, 10).collect()) == Counter(pairs)
+
+
 @pytest.mark.parametrize("max_values", [3, 100])
 def test_grouped_lists_hold_everything(spark, max_values):
     pairs = [("hot", i % 5) for i in range(40)] + [("same", 1)] * 20 + [("cold", 9), (None, 4)]
@@ -109,7 +143,7 @@ def test_grouped_lists_hold_everything(spark, max_values):
 
 
 def test_key_sorted_lists(docs):
-    counted = mr.map_reduce(docs, words, total, total, mapped_schema="word string, n bigint")
+    counted = mr.token_counts(docs, space_tokens("text"))
     rows = [(r["key"], list(r["values"])) for r in mr.key_sorted_lists(counted).collect()]
     assert rows == sorted((word, [n]) for word, n in COUNTS.items())
 

@@ -46,15 +46,33 @@ def test_empty_batch(spark, store):
     assert rows_of(store.read(spark)) == before
 
 
-def test_compaction_keeps_the_table_and_the_newest_batch(spark, store, tmp_path):
+def test_a_repeated_batch_that_lost_its_rows_leaves_none(spark, store):
+    store.write(frame(spark, BATCHES[0]), 0)
+    store.write(frame(spark, BATCHES[1]), 1)
+    store.write(frame(spark, []), 1)
+    assert rows_of(store.read(spark)) == [("ann", 1, 1, "first", 2), ("bob", 1, 3, "b", 1)]
+
+
+def test_a_new_checkpoint_adds_to_what_is_there(spark, store):
+    store.write(frame(spark, BATCHES[0]), 0, "one")
+    store.write(frame(spark, BATCHES[1]), 0, "two")
+    store.write(frame(spark, BATCHES[1]), 0, "two")
+    store.write(frame(spark, BATCHES[2]), 1, "two")
+    assert rows_of(store.read(spark)) == WANT
+
+
+def test_compaction_keeps_the_table_and_the_newest_batch(spark, store):
     for number, rows in enumerate(BATCHES):
         store.write(frame(spark, rows), number)
-    small = store.compact(spark, str(tmp_path / "compact"))
-    assert rows_of(small.read(spark)) == WANT
-    stored = merge.read_batches(spark, small.path)
-    assert {r[0] for r in stored.select("batch_id").distinct().collect()} == {1, 2}
-    small.write(frame(spark, BATCHES[2]), 2)
-    assert rows_of(small.read(spark)) == WANT
+    store.compact(spark)
+    assert rows_of(store.read(spark)) == WANT
+    # The same store, as a running sink holds it, goes on in the new generation.
+    store.write(frame(spark, BATCHES[2]), 2)
+    assert rows_of(store.read(spark)) == WANT
+    store.write(frame(spark, [("bob", 1, 0, "again")]), 3)
+    store.compact(spark)
+    want = [row if row[0] != "bob" else ("bob", 1, 3, "b", 2) for row in WANT]
+    assert rows_of(store.read(spark)) == want
 
 
 def test_split_valid(spark):
@@ -81,13 +99,20 @@ def test_snapshot(spark, tmp_path):
     assert not merge.replace_snapshot(ids(), path, 2)
     assert rows_of(merge.read_snapshot(spark, path)) == [(3,)]
     assert merge.replace_snapshot(ids(4), path, 10) and merge.snapshot_version(spark, path) == 10
-    # A version that was written but never committed is not seen.
-    ids(9).write.parquet(f"{path}/data/version=11")
+    # An attempt that was written but never committed is not seen.
+    ids(9).write.parquet(f"{path}/data/version=11-lost")
     assert rows_of(merge.read_snapshot(spark, path)) == [(4,)]
-    merge.drop_old_snapshots(spark, path, keep=1)
-    assert sorted(os.listdir(f"{path}/committed"))[-1].endswith("10")
-    assert not os.path.exists(f"{path}/data/version=0")
+    # A repeated version without rows loses nothing; one with rows replaces it.
+    assert not merge.replace_snapshot(ids(), path, 10)
     assert rows_of(merge.read_snapshot(spark, path)) == [(4,)]
+    assert merge.replace_snapshot(ids(5), path, 10)
+    # A new checkpoint begins at version 0 again.
+    assert merge.replace_snapshot(ids(6), path, 0)
+    assert rows_of(merge.read_snapshot(spark, path)) == [(6,)]
+    merge.drop_old_snapshots(spark, path, keep=1)
+    assert len(os.listdir(f"{path}/committed")) >= 1
+    assert not [name for name in os.listdir(f"{path}/data") if name.startswith("version=1-")]
+    assert rows_of(merge.read_snapshot(spark, path)) == [(6,)]
 
 
 def test_primary_key_upsert(spark):
@@ -150,9 +175,20 @@ def test_idempotent_insert(spark, tmp_path):
     ]
 
 
-def test_only_touched_ranges_are_read(spark, tmp_path, monkeypatch):
+def test_only_touched_ranges_are_read(spark, tmp_path):
     path = str(tmp_path / "log")
-    merge.insert_new_offsets(log(spark, range(100)), path, range_size=10)
-    known = spark.read.parquet(path).where(F.col("offset_range").between(3, 4))
-    assert len(known.select(F.input_file_name()).distinct().collect()) <= 2 * 4
-    assert known.count() == 20
+    both = log(spark, range(100)).unionByName(log(spark, range(100), partition=1))
+    merge.insert_new_offsets(both, path, range_size=10)
+    batch = log(spark, [5]).unionByName(log(spark, [95, 100], partition=1))
+    placed = batch.selectExpr(
+        "*", "topic AS in_topic", "CAST(partition AS STRING) AS in_partition", "offset div 10 AS offset_range"
+    )
+    known = merge.touched_ranges(placed, path)
+    # Range 0 of the one and 9 of the other partition, though they lie far apart.
+    assert rows_of(known.select("partition", "offset")) == [
+        *[(0, o) for o in range(10)], *[(1, o) for o in range(90, 100)]
+    ]
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PushedFilters: []" in plan
+    merge.insert_new_offsets(batch, path, range_size=10)
+    assert merge.read_offsets(spark, path).count() == 201

@@ -2,9 +2,7 @@ from __future__ import annotations
 
 import datetime
 import json
-from functools import partial
 
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,7 +11,7 @@ from tallyloom.operators.mentions import explode_mentions, sliding_counts
 from tallyloom.operators.merge import CountingUpsert, read_batches, read_offsets, read_snapshot
 from tallyloom.operators.posts import NESTED_POST_SCHEMA, post_tuple, project_post
 from tallyloom.operators.ticks import tick_times, ticked_places
-from tallyloom.session import planned_bytes, require_conf, scratch_dir, spread_small
+from tallyloom.session import require_conf, scratch_dir
 from tallyloom.sources import files
 from tallyloom.sources.cells import counter_cells
 from tallyloom.sources.payload import parse_payload
@@ -167,17 +165,22 @@ def test_log_options():
 
 def test_ticks_and_bounded_run(spark, tmp_path):
     out = str(tmp_path / "out")
-    places = ticked_places(sources.ticks(spark, 0.2), ["P", "Q"])
+    places = ticked_places(sources.ticks(spark, 2), ["P", "Q"])
     query = sinks.start(
         places, sinks.append_sink(out), str(tmp_path / "c"), trigger={"processingTime": "200 milliseconds"}
     )
-    sinks.run_for(query, 6)
+    sinks.run_for(query, 8)
     assert not query.isActive
-    got = [(r["tick"], r["place"]) for r in read_batches(spark, out).collect()]
-    assert len(got) >= 2 and len(set(got)) == len(got)
+    rows = read_batches(spark, out).collect()
+    got = [(r["tick"], r["place"]) for r in rows]
+    assert 2 <= len(got) <= 2 * 5 and len(set(got)) == len(got)
     assert set(got) == {(t, p) for t, _ in got for p in "PQ"}
+    times = sorted({r["at"] for r in rows})
+    assert all((b - a).total_seconds() == 2 for a, b in zip(times, times[1:]))
     frame = spark.createDataFrame([(moment(1),), (moment(9),), (moment(31),)], "ts timestamp_ntz")
-    assert rows_of(tick_times(frame, "ts", 10)) == [(moment(0),), (moment(30),)]
+    assert rows_of(tick_times(frame, "ts", 10)) == [(moment(s),) for s in (0, 10, 20, 30)]
+    days = spark.createDataFrame([(moment(0),), (moment(3 * 86_400),)], "ts timestamp_ntz")
+    assert tick_times(days, "ts", 3600).count() == 73
 
 
 def test_console(spark, post_files, tmp_path):
@@ -187,64 +190,6 @@ def test_console(spark, post_files, tmp_path):
     query.stop()
 
 
-class CountingConnection:
-    """Writes one line per insert and one when closed, to files of its process."""
-
-    def __init__(self, folder):
-        import os
-
-        self.path = f"{folder}/{os.getpid()}"
-        self.note("open")
-
-    def note(self, text):
-        with open(self.path, "a") as out:
-            out.write(text + "\n")
-
-    def insert(self, batches, name):
-        self.note(f"insert {sum(b.num_rows for b in batches)} {name}")
-
-    def close(self):
-        self.note("close")
-
-
-@pytest.mark.parametrize("pooled", [False, True])
-def test_connections(spark, tmp_path, pooled):
-    pool = str(tmp_path) if pooled else None
-    connect = partial(CountingConnection, str(tmp_path))
-    for batch_id in range(2):
-        sent = sinks.send_partitions(spark.range(0, 80, 1, 4), batch_id, connect, pool)
-        assert sent == 80
-    lines = [line.split() for path in tmp_path.iterdir() for line in path.read_text().splitlines()]
-    inserts = [line for line in lines if line[0] == "insert"]
-    assert len(inserts) == 8 and {line[2] for line in inserts} == {
-        f"batch-{b}-part-{p}" for b in range(2) for p in range(4)
-    }
-    opened = sum(line[0] == "open" for line in lines)
-    workers = len(list(tmp_path.iterdir()))
-    assert opened == (workers if pooled else 8)
-    if not pooled:
-        assert sum(line[0] == "close" for line in lines) == 8
-    assert sinks.send_partitions(spark.range(0), 9, connect, pool) == 0
-
-
-def test_folder_connection_replaces_a_repeated_insert(spark, tmp_path):
-    folder = f"file://{tmp_path}/docs"
-    connect = partial(sinks.FolderConnection, folder)
-    for partitions in (4, 4, 2):
-        rows = spark.range(0, 10, 1, partitions)
-        sinks.send_partitions(rows, 0, connect, start_batch=connect().start_batch)
-    assert rows_of(spark.read.parquet(folder)) == [(i,) for i in range(10)]
-    connection = sinks.FolderConnection(folder)
-
-    def broken():
-        yield pa.RecordBatch.from_pydict({"id": [1]})
-        raise RuntimeError("lost")
-
-    with pytest.raises(RuntimeError):
-        connection.insert(broken(), "half")
-    assert spark.read.parquet(folder).count() == 10
-
-
 def test_csv_json_and_collections(spark, tmp_path):
     frame = files.rows_table(spark, [("a", 1), ("b", 2)], "k string, n int")
     frame.write.csv(str(tmp_path / "csv"))
@@ -278,15 +223,6 @@ def test_path_uri(spark):
     assert files.path_uri(spark, "file:///tmp/x") == "file:///tmp/x"
 
 
-def test_spread_small(spark, tmp_path):
-    path = str(tmp_path / "small")
-    spark.range(200_000).selectExpr("id", "uuid() AS u").coalesce(1).write.parquet(path)
-    small = spark.read.parquet(path)
-    assert planned_bytes(small) > 5 << 20
-    assert spread_small(small).rdd.getNumPartitions() == 4
-    assert "Repartition" not in spread_small(small, limit=1)._jdf.queryExecution().analyzed().toString()
-
-
 def test_required_conf(spark):
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
     assert require_conf(spark).conf.get("spark.sql.session.timeZone") == "UTC"
