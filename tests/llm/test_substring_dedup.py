@@ -1,0 +1,76 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tallyloom.llm import substring_dedup as op
+from tallyloom.llm.text_tasks import rolling_hashes, word_codes
+from tests.llm.conftest import ODD
+
+
+def brute(rows, window):
+    split = [[w for w in re.split(r"[\x20\x09-\x0D]+", t or "") if w] for _, t in rows]
+    seen = Counter(tuple(w[i : i + window]) for w in split for i in range(len(w) - window + 1))
+    out = []
+    for (doc_id, _), words in zip(rows, split, strict=True):
+        gone = set()
+        for i in range(len(words) - window + 1):
+            if seen[tuple(words[i : i + window])] > 1:
+                gone.update(range(i, i + window))
+        kept = [w for i, w in enumerate(words) if i not in gone]
+        out.append((doc_id, " ".join(kept), len(words), len(words) - len(kept)))
+    return sorted(out, key=str)
+
+
+def found(frame):
+    columns = ["doc_id", "kept_text", "n_words", "n_removed"]
+    return sorted((tuple(r) for r in frame.select(*columns).collect()), key=str)
+
+
+@pytest.mark.parametrize("window, cell, ranges", [(35, 8_000_000, 32_000_000), (4, 300, 500), (5, 2_000, 1_000)])
+def test_equals_brute_force(make, window, cell, ranges):
+    draw = random.Random(window)
+    rows, words = list(ODD), [f"w{i}é" for i in range(400)]
+    passages = [[draw.choice(words) for _ in range(draw.randint(window - 1, 3 * window))] for _ in range(6)]
+    for i in range(60):
+        text = [draw.choice(words) for _ in range(draw.randint(0, 60))]
+        for _ in range(draw.randint(0, 2)):
+            at = draw.randint(0, len(text))
+            text[at:at] = draw.choice(passages)
+        rows.append((i + 10, (" \n\t"[i % 3]).join(text)))
+    rows += [(500, "same " * 300), (501, rows[20][1]), (501, rows[20][1])]
+    out = op.without_repeats(make(rows), window, cell, ranges)
+    assert found(out) == brute(rows, window)
+
+
+def test_no_rows(empty):
+    assert op.without_repeats(empty).collect() == []
+
+
+def test_rolling_hashes_depend_on_words_alone():
+    codes = word_codes([b"a", b"b", b"c", b"a", b"b", b"c", b"a"])
+    hashes = rolling_hashes(codes, 3).tolist()
+    assert hashes[0] == hashes[3] and hashes[1] == hashes[4] and len(set(hashes)) == 3
+    assert rolling_hashes(codes, 8).tolist() == []
+
+
+def test_keys_that_share_64_bits_are_told_apart():
+    first = np.array([5, 5, 5, 9], np.uint64)
+    second = np.array([1, 2, 1, 1], "<u4")
+    keys = op._pack(first, second)
+    table = pa.table({
+        "bucket": pa.array([0, 0], pa.int32()), "cell": pa.array([0, 1], pa.int32()),
+        "keys": [keys[:2].tobytes(), keys[2:].tobytes()], "more": [b"", b""], "blocks": [b"", b""],
+    })
+    out = op._repeated(table)
+    assert out.column("cell").to_pylist() == [0, 1]
+    again = np.frombuffer(out.column("keys")[0].as_py(), op.KEY)
+    assert again.tolist() == [(5, 1)]
+    assert op._is_repeat(first, second, again).tolist() == [0, 2]
+    both = op._pack(np.array([5, 5], np.uint64), np.array([1, 2], "<u4"))
+    assert op._is_repeat(first, second, both).tolist() == [0, 1, 2]
