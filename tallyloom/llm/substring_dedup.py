@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -47,32 +48,55 @@ class _Words:
         codes = [word_codes(words) for words in self.split]
         self.codes = np.concatenate([*codes, np.empty(0, np.uint64)])
 
-    def inside(self, width: int, least: int) -> np.ndarray:
-        """Starts of windows within one document, of documents of ``least`` words or more."""
+    def inside(self, width: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts of windows within one document, of documents of ``least`` words or more:
+        in the row of all words, and in their documents."""
         counts = np.where(self.sizes >= least, self.sizes - width + 1, 0)
         ends = np.cumsum(counts)
         within = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
-        return np.repeat(self.starts, counts) + within
-
-    def places(self, at: np.ndarray) -> np.ndarray:
-        """Word numbers within their documents."""
-        return at - self.starts[np.searchsorted(self.starts, at, side="right") - 1]
+        return np.repeat(self.starts, counts) + within, within
 
 
 def _anchor_keys(words: _Words, at: np.ndarray, block: int, ranges: int) -> np.ndarray:
     """Bucket in the high and 32 bits of the hash in the low half."""
-    hashes = mixed(rolling_hashes(words.codes, block))[at]
+    hashes = mixed(rolling_hashes(words.codes, block)[at])
     bucket = (hashes >> np.uint64(40)) % np.uint64(ranges)
     return bucket << np.uint64(32) | hashes & _LOW
 
 
-def _window_keys(words: _Words, at: np.ndarray, window: int) -> np.ndarray:
-    """96 bits per window, from two rolling hashes."""
-    keys = np.empty(len(at), [("a", "<u8"), ("b", "<u4")])
-    keys["a"] = mixed(rolling_hashes(words.codes, window))[at]
-    second = mixed(rolling_hashes(words.codes, window, _SECOND))[at]
-    keys["b"] = (second >> np.uint64(32)).astype("<u4")
-    return keys
+def _window_keys(words: _Words, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """96 bits per window, from two rolling hashes: 64 and 32 of them."""
+    first = mixed(rolling_hashes(words.codes, window)[at])
+    second = mixed(rolling_hashes(words.codes, window, _SECOND)[at])
+    return first, (second >> np.uint64(32)).astype("<u4")
+
+
+def _sorted_keys(first: np.ndarray, second: np.ndarray):
+    """Order of 96-bit keys, and where in that order a new key begins."""
+    order = np.argsort(first, kind="stable")
+    a, b = first[order], second[order]
+    if (a[1:] == a[:-1]).any() and (b[1:] != b[:-1])[a[1:] == a[:-1]].any():
+        order = np.lexsort((second, first))  # two keys that share their first 64 bits
+        a, b = first[order], second[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return order, new
+
+
+def _member(values: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Places of ``values`` that are in the sorted ``among``.
+
+    A table of the low bits rules out most values before the search.
+    """
+    if not len(among):
+        return np.empty(0, np.int64)
+    bits = np.uint64((1 << 20) - 1)
+    table = np.zeros(1 << 20, bool)
+    table[among & bits] = True
+    likely = np.flatnonzero(table[values & bits])
+    found = np.searchsorted(among, values[likely])
+    found = np.minimum(found, len(among) - 1)
+    return likely[among[found] == values[likely]]
 
 
 def _texts(table: pa.Table) -> list[str | None]:
@@ -98,11 +122,11 @@ def _probes(window: int, block: int, ranges: int):
 
     def run(table: pa.Table) -> pa.Table:
         words, cell = _Words(_texts(table)), _cell_of(table)
-        at = words.inside(block, window)
+        at, within = words.inside(block, window)
         if not len(at):
             return _table(SENT, [])
         keys = _anchor_keys(words, at, block, ranges)
-        blocks = np.unique(keys[words.places(at) % block == 0])
+        blocks = np.unique(keys[within % block == 0])
         keys, counts = np.unique(keys, return_counts=True)
         twice = keys[counts > 1]
         rows = []
@@ -128,8 +152,8 @@ def _anchored(table: pa.Table) -> pa.Table:
     index = np.unique(np.concatenate(blocks))
     places = np.zeros(len(index), np.int64)
     for part in (*keys, *twice):
-        found = np.searchsorted(index, part)
-        found = found[(found < len(index)) & (index[np.minimum(found, len(index) - 1)] == part)] if len(index) else found[:0]
+        found = np.minimum(np.searchsorted(index, part), max(len(index) - 1, 0))
+        found = found[index[found] == part] if len(index) else found[:0]
         places[found] += 1
     hits = index[places > 1]
     bucket = table.column("bucket")[0].as_py()
@@ -154,9 +178,12 @@ def _candidates(window: int, block: int, ranges: int):
         if not table.num_rows or not hits.num_rows:
             return _table(SENT, [])
         words, cell = _Words(_texts(table)), _cell_of(table)
-        at = words.inside(window, window)
-        keys = _window_keys(words, _around(words, at, hits, window, block, ranges), window)
-        keys, counts = np.unique(keys, return_counts=True)
+        at = _around(words, hits, window, block, ranges)
+        first, second = _window_keys(words, at, window)
+        order, new = _sorted_keys(first, second)
+        heads = np.flatnonzero(new)
+        counts = np.diff(np.concatenate([heads, [len(order)]]))
+        keys = _pack(first[order][heads], second[order][heads])
         buckets = ((keys["a"] >> np.uint64(40)) % np.uint64(ranges)).astype(np.int64)
         rows = []
         for bucket in np.unique(buckets).tolist():
@@ -168,12 +195,13 @@ def _candidates(window: int, block: int, ranges: int):
     return run
 
 
-def _around(words: _Words, at, hits: pa.Table, window: int, block: int, ranges: int):
-    """Those starts of full windows that hold a hit block window."""
-    probes = words.inside(block, window)
-    hit = np.isin(_anchor_keys(words, probes, block, ranges), _joined(hits, "keys", "<u8"))
+def _around(words: _Words, hits: pa.Table, window: int, block: int, ranges: int) -> np.ndarray:
+    """Starts of the full windows that hold a hit block window."""
+    at, _ = words.inside(window, window)
+    probes, _ = words.inside(block, window)
+    among = np.sort(_joined(hits, "keys", "<u8"))
     marks = np.zeros(words.total + 1, np.int64)
-    marks[probes[hit]] = 1
+    marks[probes[_member(_anchor_keys(words, probes, block, ranges), among)]] = 1
     sums = np.concatenate([[0], np.cumsum(marks)])
     return at[sums[at + window - block + 1] > sums[at]]
 
@@ -181,20 +209,28 @@ def _around(words: _Words, at, hits: pa.Table, window: int, block: int, ranges:
 KEY = np.dtype([("a", "<u8"), ("b", "<u4")])
 
 
+def _pack(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    keys = np.empty(len(first), KEY)
+    keys["a"], keys["b"] = first, second
+    return keys
+
+
 def _repeated(table: pa.Table) -> pa.Table:
     """Per cell: its window keys that are met in two places or more."""
     cells = table.column("cell").to_pylist()
     sizes = [len(x) // KEY.itemsize for x in table.column("keys").to_pylist()]
-    keys = _joined(table, "keys", KEY)
-    every = np.concatenate([keys, _joined(table, "more", KEY)])
-    _, inverse, counts = np.unique(every, return_inverse=True, return_counts=True)
-    again = counts[inverse[: len(keys)]] > 1
+    every = np.concatenate([_joined(table, "keys", KEY), _joined(table, "more", KEY)])
+    order, new = _sorted_keys(every["a"].copy(), every["b"].copy())
+    heads = np.flatnonzero(new)
+    counts = np.diff(np.concatenate([heads, [len(order)]]))
+    again = np.zeros(len(every), bool)
+    again[order] = np.repeat(counts > 1, counts)
     ends = np.cumsum(sizes)
     rows = []
     for cell, last, size in zip(cells, ends.tolist(), sizes, strict=True):
         own = slice(last - size, last)
         if again[own].any():
-            rows.append((cell, keys[own][again[own]].tobytes(), b""))
+            rows.append((cell, every[own][again[own]].tobytes(), b""))
     return _table(REPLY, rows)
 
 
@@ -205,8 +241,8 @@ def _removed(window: int):
         words = _Words(_texts(table))
         marks = np.zeros(words.total + 1, np.int64)
         if repeats.num_rows:
-            at = words.inside(window, window)
-            hit = at[np.isin(_window_keys(words, at, window), _joined(repeats, "keys", KEY))]
+            at, _ = words.inside(window, window)
+            hit = at[_is_repeat(*_window_keys(words, at, window), _joined(repeats, "keys", KEY))]
             marks[hit] += 1
             np.subtract.at(marks, hit + window, 1)
         covered = np.cumsum(marks)[:-1] > 0
@@ -215,7 +251,7 @@ def _removed(window: int):
             table.column("doc_id").to_pylist(), words.split, words.starts.tolist(), strict=True
         ):
             own = covered[start : start + len(split)]
-            kept = [w for w, gone in zip(split, own.tolist(), strict=True) if not gone] if own.any() else split
+            kept = list(compress(split, ~own)) if own.any() else split
             text = b" ".join(kept).decode("utf-8", "surrogatepass")
             rows.append((doc_id, text, len(split), len(split) - len(kept)))
         return _table(RESULT, rows)
@@ -223,6 +259,20 @@ def _removed(window: int):
     return run
 
 
+def _is_repeat(first: np.ndarray, second: np.ndarray, repeats: np.ndarray) -> np.ndarray:
+    """Places of the windows whose 96 bits are among ``repeats``."""
+    order, _ = _sorted_keys(repeats["a"].copy(), repeats["b"].copy())
+    a, b = repeats["a"][order], repeats["b"][order]
+    likely = _member(first, a)
+    left = np.searchsorted(a, first[likely], side="left")
+    same = b[left] == second[likely]
+    # Repeats that share their first 64 bits are looked at one by one.
+    for place in np.flatnonzero(~same).tolist():
+        right = np.searchsorted(a, first[likely[place]], side="right")
+        same[place] = second[likely[place]] in b[left[place] : right]
+    return likely[same]
+
+
 def laid_out(documents: DataFrame, cell_chars: int = CELL_CHARS) -> tuple[DataFrame, int]:
     """(cell, doc_id, text) as a table bucketed by cell, and the characters in it.
 
