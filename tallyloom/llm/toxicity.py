@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.session import stored
+
 # Bound on the labelled rows that the model is fitted on: all of them below it, beyond it
 # the ones with the smallest hashes of their ids.
 MAX_TRAIN_ROWS = 20_000
@@ -173,18 +175,18 @@ def token_counts(rows: DataFrame) -> DataFrame:
 
 def log_odds(counts: DataFrame, prior: float = PRIOR_STRENGTH) -> DataFrame:
     """(token, delta, z): log-odds with a Dirichlet prior in proportion to all counts."""
-    sums = counts.agg(F.sum("bad").alias("all_bad"), F.sum("good").alias("all_good"))
-    rows = counts.crossJoin(F.broadcast(sums))  # one row of totals
-    everything = F.col("all_bad") + F.col("all_good")
+    sums = counts.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).first()
+    all_bad, all_good = float(sums["bad"] or 0), float(sums["good"] or 0)
+    everything = all_bad + all_good
     # The prior of a token: one document and its share of ``prior`` documents, dealt to the
     # two kinds by their size, so that it favours neither.
     each = F.lit(1.0) + F.lit(prior) * (F.col("bad") + F.col("good")) / everything
-    bad = F.col("bad") + each * F.col("all_bad") / everything
-    good = F.col("good") + each * F.col("all_good") / everything
-    delta = F.log(bad / (F.col("all_bad") + prior - bad)) - F.log(
-        good / (F.col("all_good") + prior - good)
+    bad = F.col("bad") + each * all_bad / everything
+    good = F.col("good") + each * all_good / everything
+    delta = F.log(bad / (all_bad + prior - bad)) - F.log(
+        good / (all_good + prior - good)
     )
-    return rows.select("token", delta.alias("delta"), (delta / F.sqrt(1 / bad + 1 / good)).alias("z"))
+    return counts.select("token", delta.alias("delta"), (delta / F.sqrt(1 / bad + 1 / good)).alias("z"))
 
 
 def fit(
@@ -198,7 +200,8 @@ def fit(
     Without usable labels of both kinds every document gets the score of the prior.
     """
     rows = training_rows(documents, labels, max_rows)
-    odds = log_odds(token_counts(rows.filter("weigh"))).filter(F.col("z") >= MIN_Z)
+    counts = stored(token_counts(rows.filter("weigh")), "token-counts")
+    odds = log_odds(counts).filter(F.col("z") >= MIN_Z)
     best = odds.orderBy(F.desc("z"), "token").limit(max_tokens).collect()
     weights = {r["token"]: min(r["delta"], 6.0) for r in best if r["delta"] > 0}
     draft = ToxicityModel(weights, -1.0, 1.0, 1.0, 1.0, 0.0)
