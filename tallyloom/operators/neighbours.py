@@ -60,7 +60,8 @@ def similar_neighbours(
         left.join(reach, on, "left")
         .withColumn("_right", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .drop("_rights")
-        .join(right.withColumnRenamed("_rows", "_others"), [on, "_right"])
+        # Blocks of candidates grow with the data, so they are never broadcast.
+        .join(right.withColumnRenamed("_rows", "_others").hint("merge"), [on, "_right"])
         .select(on, "_rows", "_others")
     )
     key_type = persons.schema[on].dataType

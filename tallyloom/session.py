@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -91,8 +93,22 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
                 "spark.checkpoint.dir is not set: name a folder that all executors share"
             )
         base = tempfile.mkdtemp(prefix="tallyloom-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return folder
+
+
+# Folders handed out, by application.
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all folders that this application got; results that read them end with them."""
+    for folder in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(rows: DataFrame, purpose: str) -> DataFrame:

@@ -190,6 +190,16 @@ def test_console(spark, post_files, tmp_path):
     query.stop()
 
 
+def test_clear_scratch(spark, monkeypatch):
+    from tallyloom import session
+
+    monkeypatch.setattr(session, "_SCRATCH", {})
+    folder = scratch_dir(spark, "gone")
+    spark.range(3).write.parquet(folder)
+    session.clear_scratch(spark)
+    assert not files.path_exists(spark, folder)
+
+
 def test_csv_json_and_collections(spark, tmp_path):
     frame = files.rows_table(spark, [("a", 1), ("b", 2)], "k string, n int")
     frame.write.csv(str(tmp_path / "csv"))
