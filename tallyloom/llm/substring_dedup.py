@@ -27,9 +27,12 @@ from tallyloom.llm.text_tasks import ascii_words, mixed, rolling_hashes, word_co
 from tallyloom.session import scratch_dir
 
 WINDOW = 35
-# Characters of text per cell and per range of hashes; both are held by one task.
+# Least characters of text per cell and per range of hashes; both are held by one task.
 CELL_CHARS = 8_000_000
 RANGE_CHARS = 32_000_000
+# A cell sends each range some 1,000 hashes or more: beyond about 10 ** 10 characters both
+# sizes grow with the square root of the text, to some 10 ** 9 characters at 100 TB.
+SENT_CHARS = 6_000
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
 _LOW = np.uint64(0xFFFFFFFF)
 SENT = "bucket int, cell int, keys binary, more binary, blocks binary"
@@ -273,6 +276,10 @@ def _is_repeat(first: np.ndarray, second: np.ndarray, repeats: np.ndarray) -> np
     return likely[same]
 
 
+def _least_chars(chars: int) -> int:
+    return math.isqrt(SENT_CHARS * chars) if chars > 10**10 else 0
+
+
 def laid_out(documents: DataFrame, cell_chars: int = CELL_CHARS) -> tuple[DataFrame, int]:
     """(cell, doc_id, text) as a table bucketed by cell, and the characters in it.
 
@@ -281,7 +288,7 @@ def laid_out(documents: DataFrame, cell_chars: int = CELL_CHARS) -> tuple[DataFr
     """
     spark = documents.sparkSession
     chars = documents.agg(F.sum(F.length("text"))).first()[0] or 0
-    cells = max(1, math.ceil(chars / cell_chars))
+    cells = max(1, math.ceil(chars / max(cell_chars, _least_chars(chars))))
     number = F.xxhash64(F.monotonically_increasing_id())
     rows = documents.select("doc_id", "text", F.pmod(number, F.lit(cells)).cast("int").alias("cell"))
     files = max(1, math.ceil(cells / 2))
@@ -312,7 +319,7 @@ def without_repeats(
     """
     block = (window + 1) // 2
     table, chars = laid_out(documents, cell_chars)
-    ranges = max(1, math.ceil(chars / range_chars))
+    ranges = max(1, math.ceil(chars / max(range_chars, _least_chars(chars))))
     by_cell = table.groupBy("cell")
     sent = by_cell.applyInArrow(_probes(window, block, ranges), SENT)
     hits = sent.groupBy("bucket").applyInArrow(_anchored, REPLY)

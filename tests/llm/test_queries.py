@@ -8,13 +8,20 @@ from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
 import corpus_pipeline
 from tallyloom.llm import queries
-from tallyloom.llm import decontaminate, toxicity
+from tallyloom.llm import decontaminate, packing, toxicity
 from tests.compare import connect, mismatch
-from tests.llm import test_line_dedup, test_simhash
+from tests.llm import (
+    test_decontaminate,
+    test_line_dedup,
+    test_packing,
+    test_simhash,
+    test_token_files,
+)
 
 
 @pytest.fixture(scope="module")
@@ -42,6 +49,63 @@ def test_queries_without_sql_equal_brute_force(spark, sf_dir):
     assert {len(r["fingerprint"]) for r in got} == {16}
 
 
+def _documents(spark, sf_dir):
+    return [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+
+
+def test_tiling_query_equals_brute_force(spark, sf_dir):
+    items = [
+        (r["item_id"], decontaminate.tokens_of(r["text"]))
+        for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()
+    ]
+    grams = [(i, t, {tuple(t[k : k + 5]) for k in range(len(t) - 4)}) for i, t in items]
+    want = set()
+    for doc_id, text in _documents(spark, sf_dir):
+        tokens = decontaminate.tokens_of(text)
+        own = {tuple(tokens[k : k + 5]) for k in range(len(tokens) - 4)}
+        for item_id, item, seeds in grams:
+            if own & seeds:
+                tiles = test_decontaminate.brute_tiles(item, tokens, 5)
+                covered = sum(n for _, _, n in tiles) / len(item)
+                if covered >= decontaminate.MIN_COVERAGE:
+                    want.add((doc_id, item_id, round(covered, 9), len(tiles)))
+    got = queries.QUERIES["op3_string_tiling"](spark, sf_dir).collect()
+    assert {(r["doc_id"], r["item_id"], round(r["coverage"], 9), r["n_tiles"]) for r in got} == want
+    assert want and len(got) == len(want)
+
+
+def test_packing_query_places_every_token(spark, sf_dir):
+    lengths = [
+        (doc_id, len(re.findall(r"[^\x20\x09-\x0D]+", text or "")) + 1)
+        for doc_id, text in _documents(spark, sf_dir)
+    ]
+    rows = queries.QUERIES["op4_best_fit_packing"](spark, sf_dir).collect()
+    cost = test_packing.check(rows, lengths, packing.CAPACITIES)
+    assert cost <= 1.02 * test_packing.best_fit_cost(lengths, packing.CAPACITIES, packing.CAPACITIES)
+
+
+def test_toxicity_query_scores_whole_texts(spark, sf_dir):
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = toxicity.fit(documents, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    got = {r["doc_id"]: r["score"] for r in queries.QUERIES["op6_toxic_segments"](spark, sf_dir).collect()}
+    assert got == pytest.approx({doc_id: model.score(text) for doc_id, text in _documents(spark, sf_dir)})
+
+
+def test_toxicity_query_is_accurate_on_held_out_rows(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    tested = queries.QUERIES["op6_toxic_segments"](spark, sf_dir).filter("held_out").join(labels, "doc_id")
+    n = {(r["toxic"], r["predicted"]): r["count"] for r in tested.groupBy("toxic", "predicted").count().collect()}
+    assert n[1, 1] / (n[1, 1] + n[1, 0]) > 0.8 and n[1, 1] / (n[1, 1] + n.get((0, 1), 0)) > 0.9
+
+
+def test_token_query_equals_the_tokenizer(spark, sf_dir):
+    tokenizer = Tokenizer.from_file(test_token_files.PATH)
+    got = queries.QUERIES["op9_token_files"](spark, sf_dir).collect()
+    want = test_token_files.brute(_documents(spark, sf_dir), tokenizer)
+    assert sorted((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in got) == want
+
+
 def test_pipeline_equals_plain_python(spark, sf_dir):
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
