@@ -327,17 +327,19 @@ def _copy_links(radius: int, leaders: bool):
             found += near or [(value, value)]
         return found
 
+    least = 0 if leaders else 1  # a lone member is a leader, but has no link
+
     def run(batches):
         shard, values = None, []
         for batch in batches:
             rows = zip(batch.column("shard").to_pylist(), batch.column("fp").to_pylist(), strict=True)
             for own, members in groupby(rows, key=itemgetter(0)):
                 if own != shard:
-                    if len(values) > 1:
+                    if len(values) > least:
                         yield _wide(shard, links(values))
                     shard, values = own, []
                 values += [int.from_bytes(fp, "big") for _, fp in members]
-        if len(values) > 1 or values and leaders:
+        if len(values) > least:
             yield _wide(shard, links(values))
 
     return run

@@ -103,8 +103,69 @@ def test_near_duplicates_equal_brute_force(make):
     out = op.near_duplicates(make(rows)).collect()
     got = sorted(((r["doc_id"], r["fp"] % (1 << 64), r["component_id"]) for r in out), key=str)
     assert got == brute(rows)
-    kept = op.one_per_group(make(rows)).collect()
-    want = {c for _, _, c in brute(rows) if c is not None}
+
+
+def copies(rows):
+    """Least id per row of the components of near copies, over all pairs."""
+    found = [op.sketch(t) for _, t in rows]
+    wide = {fp: set(enumerate(bands)) for fp, bands in found}
+    number = {fp: int.from_bytes(fp, "big") for fp in wide}
+    close = lambda a, b: (number[a] ^ number[b]).bit_count() <= op.COPY_RADIUS and wide[a] & wide[b]
+    root = clusters(wide, close)
+    least = {}
+    for (doc_id, _), (fp, _) in zip(rows, found, strict=True):
+        if doc_id is not None:
+            least[root[fp]] = min(least.get(root[fp], doc_id), doc_id)
+    return [(doc_id, least.get(root[fp])) for (doc_id, _), (fp, _) in zip(rows, found, strict=True)]
+
+
+def similarity(a, b):
+    sets = [set(zip(*[t.lower().split()[k:] for k in range(5)], strict=False)) for t in (a, b)]
+    return len(sets[0] & sets[1]) / max(1, len(sets[0] | sets[1]))
+
+
+def changed(draw, words, share):
+    return " ".join(draw.choice("abcdefgh") * 7 if draw.random() < share else w for w in words)
+
+
+@pytest.fixture(scope="module")
+def edited():
+    draw = random.Random(6)
+    rows = list(ODD)
+    for i in range(25):
+        base = [f"w{draw.randrange(3000)}" for _ in range(draw.randint(40, 400))]
+        rows += [(100 + 10 * i + k, changed(draw, base, share)) for k, share in enumerate((0, 0.01, 0.02, 0.1, 0.3))]
+    return rows
+
+
+def test_near_copies_are_those_of_similar_shingles(make, edited):
+    got = sorted(((r["doc_id"], r["component_id"]) for r in op.near_copies(make(edited)).collect()), key=str)
+    assert got == sorted(copies(edited), key=str)
+    name = dict(copies(edited))
+    long = [r for r in edited if r[0] and r[0] >= 100]
+    missed = 0
+    for i, (a, text) in enumerate(long):
+        for b, other in long[i + 1 :]:
+            alike = similarity(text, other)
+            missed += alike >= 0.8 and name[a] != name[b]
+            assert alike > 0.3 or name[a] != name[b]
+    assert missed <= 1
+
+
+@pytest.mark.parametrize("tree_size", [2, 5])
+def test_crowded_shards_keep_their_copies_together(make, tree_size):
+    draw = random.Random(7)
+    base = [f"w{i}" for i in range(2000)]
+    rows = [(i, changed(draw, base, 0.002)) for i in range(60)]
+    rows += [(100 + i, " ".join(f"x{draw.randrange(900)}" for _ in range(50))) for i in range(20)]
+    out = op.near_copies(make(rows), tree_size=tree_size).collect()
+    assert {r["component_id"] for r in out if r["doc_id"] < 100} == {0}
+    assert all(r["component_id"] == r["doc_id"] for r in out if r["doc_id"] >= 100)
+
+
+def test_one_document_of_each_group_stays(make, edited):
+    kept = op.one_per_group(make(edited)).collect()
+    want = {c for _, c in copies(edited) if c is not None}
     ids = [r["doc_id"] for r in kept if r["doc_id"] is not None]
     assert sorted(ids) == sorted(want) and sum(r["doc_id"] is None for r in kept) == 2
     assert kept[0].asDict().keys() == set(make([]).columns)
@@ -112,3 +173,4 @@ def test_near_duplicates_equal_brute_force(make):
 
 def test_no_rows(empty):
     assert op.near_duplicates(empty).collect() == [] and op.one_per_group(empty).collect() == []
+    assert op.near_copies(empty).collect() == []
