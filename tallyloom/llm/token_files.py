@@ -100,6 +100,7 @@ _ENCODERS: dict[str, TextEncoder] = {}
 def encoder_of(path: str) -> TextEncoder:
     """One encoder per worker process, so that tasks share the words they have seen."""
     if path not in _ENCODERS:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         _ENCODERS[path] = TextEncoder(path)
     return _ENCODERS[path]
 
@@ -123,12 +124,13 @@ def _place(folder: str):
 def write_shards(documents: DataFrame, tokenizer_path: str, folder: str) -> DataFrame:
     """Write all documents below ``folder``; returns (shard, name, n_docs, n_tokens, base).
 
-    Documents of equal id lie in the order of their texts; null ids come first and are
-    written as the least 64-bit integer. Null and empty texts have the end mark only.
+    Documents of equal id lie in the order of a hash of their texts, so that even an id of
+    very many rows is dealt to several shards; null ids come first and are written as the
+    least 64-bit integer. Null and empty texts have the end mark only.
     """
-    rows = documents.select("doc_id", "text").repartitionByRange("doc_id")
-    rows = rows.sortWithinPartitions("doc_id", "text")
-    written = rows.mapInArrow(_writer(tokenizer_path, folder), MANIFEST)
+    rows = documents.select("doc_id", "text", F.xxhash64("text").alias("_tie"))
+    rows = rows.repartitionByRange("doc_id", "_tie").sortWithinPartitions("doc_id", "_tie", "text")
+    written = rows.drop("_tie").mapInArrow(_writer(tokenizer_path, folder), MANIFEST)
     manifest = stored(written, "token-manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     # One row per shard: the prefix sums that make the shards one sequence.
@@ -189,8 +191,8 @@ def read_shards(manifest: DataFrame, folder: str, id_bits: int) -> DataFrame:
 
     The checksum is that of the ids as little-endian unsigned 32-bit integers.
     """
-    # One task per shard at most; the manifest is small whatever the shards hold.
-    shards = manifest.select("shard", "name", "base").repartition("shard")
+    # A task per shard: the manifest has few bytes, but the shards have many.
+    shards = manifest.select("shard", "name", "base").repartition(max(1, manifest.count()))
     return shards.mapInArrow(_reader(folder, np.dtype(f"<u{id_bits // 8}")), READ_BACK)
 
 
