@@ -423,7 +423,9 @@ def one_per_group(documents: DataFrame) -> DataFrame:
     )
     answers = ids.select(F.col("doc_id").alias("_answer_id"), "n", "stays")
     answers = stored(answers.withColumnsRenamed({"n": "_n", "stays": "_stays"}), "stays")
-    rows = documents.join(answers, F.col("doc_id") == F.col("_answer_id"), "left").filter(
+    # Answers grow with the documents, so they are never broadcast.
+    same = F.col("doc_id") == F.col("_answer_id")
+    rows = documents.join(answers.hint("merge"), same, "left").filter(
         "_stays IS NULL OR _stays = 1"
     )
     if not answers.filter("_n > 1 AND _stays = 1").isEmpty():
