@@ -12,7 +12,7 @@ in the tree, never all pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import combinations, groupby
 from operator import itemgetter
 
 import numpy as np
@@ -272,19 +272,29 @@ def _named(prints: DataFrame, roots: DataFrame) -> DataFrame:
     return rooted.join(names, "root").select("fp", "component_id")
 
 
-# Near copies: a wide fingerprint of five-word shingles. Texts whose shingle sets are
-# similar to 0.8 differ in 38.7 of 256 bits on average, with a deviation of 5.7; at 0.6 it
-# is 58.9 bits.
+# Near copies: sets of five-word shingles that are similar to LEAST[0] / LEAST[1] or more.
+# Wide fingerprints in MinHash shards name candidates; the sets themselves decide.
 COPY_SHINGLE = 5
 COPY_WORDS = 4
+LEAST = (4, 5)
+# Texts whose shingle sets are similar to 0.8 differ in 38.7 of 256 bits on average, with a
+# deviation of 5.7.
 COPY_RADIUS = 49
 # Shards of near copies: texts similar to 0.8 share one of six pairs of minima but for
 # 0.2 per cent of them.
 BANDS = 6
+# Shingles that a task compares at once; two texts may hold more.
+GROUP_SHINGLES = 1 << 23
 _SPREAD = 0x9E3779B97F4A7C15
 SKETCH_TYPE = StructType(
-    [StructField("fp", BinaryType()), StructField("bands", ArrayType(LongType()))]
+    [
+        StructField("fp", BinaryType()),
+        StructField("bands", ArrayType(LongType())),
+        StructField("key", BinaryType()),
+        StructField("size", LongType()),
+    ]
 )
+MEMBERS = ["shard", "key", "size", "fp"]
 
 
 def sketch(text: str | None) -> tuple[bytes, list[int]]:
@@ -292,7 +302,10 @@ def sketch(text: str | None) -> tuple[bytes, list[int]]:
 
     A text of fewer words is one shingle; one without words has zeros.
     """
-    hashes = shingle_hashes(text, COPY_SHINGLE)
+    return _sketch_of(shingle_hashes(text, COPY_SHINGLE))
+
+
+def _sketch_of(hashes: np.ndarray) -> tuple[bytes, list[int]]:
     if not len(hashes):
         return bytes(8 * COPY_WORDS), [0] * BANDS
     fp = 0
@@ -307,91 +320,172 @@ def sketch(text: str | None) -> tuple[bytes, list[int]]:
     return fp.to_bytes(8 * COPY_WORDS, "big"), pairs.view(np.int64).tolist()
 
 
+def shingle_set(text: str | None) -> np.ndarray:
+    """The distinct five-word shingles of a text, ascending."""
+    return np.unique(shingle_hashes(text, COPY_SHINGLE))
+
+
 def _sketches(texts: pd.Series) -> pd.DataFrame:
-    found = [sketch(text) for text in texts]
-    return pd.DataFrame({"fp": [f for f, _ in found], "bands": [b for _, b in found]})
+    found = []
+    for text in texts:
+        hashes = shingle_hashes(text, COPY_SHINGLE)
+        own = np.unique(hashes)
+        found.append((*_sketch_of(hashes), xxhash.xxh3_128_digest(own.tobytes()), len(own)))
+    return pd.DataFrame(found, columns=["fp", "bands", "key", "size"])
 
 
-def _copy_links(radius: int, leaders: bool):
-    """Links within shards; with ``leaders`` only to those that no earlier one is close to,
-    which are named by a link to themselves."""
+@F.pandas_udf(BinaryType())
+def _sets(texts: pd.Series) -> pd.Series:
+    return pd.Series([shingle_set(text).tobytes() for text in texts], dtype=object)
 
-    def links(values: list[int]) -> list[tuple[int, int]]:
-        if not leaders:
-            return tree_links(values, radius)
-        tree, found = BKTree(), []
-        for value in values:
-            near = [(tree.values[node], value) for node in tree.within(value, radius)]
-            if not near:
-                tree.add(value)
-            found += near or [(value, value)]
-        return found
 
-    least = 0 if leaders else 1  # a lone member is a leader, but has no link
+def _candidates(keys: list[bytes], sizes: list[int], prints: list[bytes], radius: int):
+    """Lists of keys that together hold each pair of fingerprints within the radius.
 
+    Each list has at most GROUP_SHINGLES shingles, or two keys.
+    """
+    owners: dict[int, list[int]] = {}
+    for i, fp in enumerate(prints):
+        owners.setdefault(int.from_bytes(fp, "big"), []).append(i)
+    group = {value: value for value in owners}
+
+    def root(value: int) -> int:
+        while group[value] != value:
+            group[value] = value = group[group[value]]
+        return value
+
+    for a, b in tree_links(list(owners), radius):
+        group[root(a)] = root(b)
+    joined: dict[int, list[int]] = {}
+    for value, members in owners.items():
+        joined.setdefault(root(value), []).extend(members)
+    for members in joined.values():
+        if len(members) < 2:
+            continue
+        if sum(sizes[i] for i in members) <= GROUP_SHINGLES:
+            yield [keys[i] for i in members]
+            continue
+        parts, room = [[]], GROUP_SHINGLES // 2
+        for i in members:
+            if parts[-1] and sizes[i] > room:
+                parts.append([])
+                room = GROUP_SHINGLES // 2
+            parts[-1].append(keys[i])
+            room -= sizes[i]
+        yield from (a + b for a, b in combinations(parts, 2))
+        if len(parts) == 1:
+            yield parts[0]
+
+
+def alike_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Pairs of sets similar to LEAST or more that connect all such pairs.
+
+    One set after another is compared with all others, until those that are left are
+    connected with each other.
+    """
+    sizes = np.array([len(s) for s in sets])
+    ends = np.cumsum(sizes)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    posts = owner[np.argsort(codes, kind="stable")]
+    counts = np.bincount(codes)
+    firsts = np.cumsum(counts) - counts
+    label, left, found = np.arange(len(sets)), np.ones(len(sets), bool), []
+    while True:
+        held = np.bincount(label[left], minlength=len(sets))
+        open_labels = np.flatnonzero(held)
+        if len(open_labels) < 2:
+            return found
+        # Members of small clusters come first, so that a large one is seldom gone through.
+        least = open_labels[held[open_labels].argmin()]
+        i = int(np.flatnonzero(left & (label == least))[0])
+        left[i] = False
+        own = codes[ends[i] - sizes[i] : ends[i]]
+        lengths = counts[own]
+        steps = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        shared = np.bincount(posts[np.repeat(firsts[own], lengths) + steps], minlength=len(sets))
+        near = (LEAST[0] + LEAST[1]) * shared >= LEAST[0] * (sizes + sizes[i])
+        for j in np.flatnonzero(near & (label != label[i])).tolist():
+            if label[j] != label[i]:
+                found.append((i, j))
+                label[label == label[j]] = label[i]
+
+
+def _by_shard(batches, names: list[str]):
+    """(shard, columns) of sorted batches, one shard at a time."""
+    shard, held = None, []
+    for batch in batches:
+        rows = zip(*[batch.column(name).to_pylist() for name in ("shard", *names)], strict=True)
+        for own, members in groupby(rows, key=itemgetter(0)):
+            if own != shard and held:
+                yield shard, list(zip(*held, strict=True))[1:]
+                held = []
+            shard = own
+            held += members
+    if held:
+        yield shard, list(zip(*held, strict=True))[1:]
+
+
+def _grouped(radius: int):
     def run(batches):
-        shard, values = None, []
-        for batch in batches:
-            rows = zip(batch.column("shard").to_pylist(), batch.column("fp").to_pylist(), strict=True)
-            for own, members in groupby(rows, key=itemgetter(0)):
-                if own != shard:
-                    if len(values) > least:
-                        yield _wide(shard, links(values))
-                    shard, values = own, []
-                values += [int.from_bytes(fp, "big") for _, fp in members]
-        if len(values) > least:
-            yield _wide(shard, links(values))
+        for _, (keys, sizes, prints) in _by_shard(batches, MEMBERS[1:]):
+            for group in _candidates(keys, sizes, prints, radius):
+                # Shards with equal groups give them one name, so that each is compared once.
+                name = xxhash.xxh3_64_intdigest(b"".join(sorted(group)))
+                names = np.full(len(group), name, np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names), pa.array(group, pa.binary())], ["shard", "key"]
+                )
 
     return run
 
 
-def _wide(shard: int, found: list[tuple[int, int]]) -> pa.RecordBatch:
-    ends = [[pair[k].to_bytes(8 * COPY_WORDS, "big") for pair in found] for k in (0, 1)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([shard] * len(found), pa.int64()), *[pa.array(e, pa.binary()) for e in ends]],
-        ["shard", "a", "b"],
-    )
+def _compared(batches):
+    for _, (keys, sets) in _by_shard(batches, ["key", "shingles"]):
+        found = alike_links([np.frombuffer(s, np.uint64) for s in sets])
+        ends = [pa.array([keys[pair[k]] for pair in found], pa.binary()) for k in (0, 1)]
+        yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
+
 
+def _in_shards(rows: DataFrame, names: list[str]) -> DataFrame:
+    return rows.select(*names).repartition("shard").sortWithinPartitions("shard", "key")
 
-def _in_shards(rows: DataFrame, radius: int, leaders: bool) -> DataFrame:
-    dealt = rows.select("shard", "fp").repartition("shard").sortWithinPartitions("shard", "fp")
-    return dealt.mapInArrow(_copy_links(radius, leaders), "shard long, a binary, b binary")
+
+def copy_shards(prints: DataFrame, tree_size: int = TREE_SIZE) -> DataFrame:
+    """(shard, key, size, fp): a shard is a pair of minima with two or more members."""
+    pairs = prints.select("key", "size", "fp", F.posexplode("bands").alias("band", "low"))
+    fits, crowded = _by_size(pairs.withColumn("shard", F.xxhash64("band", "low")), tree_size)
+    return fits.unionByName(crowded.drop("n"))
+
+
+def _by_size(rows: DataFrame, tree_size: int) -> tuple[DataFrame, DataFrame]:
+    """Members of shards of 2 to ``tree_size`` members, and those of larger ones with ``n``."""
+    sizes = rows.groupBy("shard").agg(F.count("*").alias("n")).filter("n > 1")
+    held = stored(rows.select(*MEMBERS).join(sizes, "shard"), "copy-shards")
+    return held.filter(F.col("n") <= tree_size).drop("n"), held.filter(F.col("n") > tree_size)
 
 
 def copy_links(
-    prints: DataFrame, radius: int = COPY_RADIUS, tree_size: int = TREE_SIZE
+    documents: DataFrame, prints: DataFrame, radius: int = COPY_RADIUS, tree_size: int = TREE_SIZE
 ) -> DataFrame:
-    """(a, b): links between wide fingerprints (fp, bands) of near copies.
+    """(a, b): links between keys of shingle sets that are similar to LEAST or more.
 
-    A shard is a pair of minima; one with over ``tree_size`` members is dealt out by a
-    second pair. What is still larger are copies in great number: parts of bounded size
-    name leaders, to which all others there are linked, and the leaders of all parts are
-    compared in the end.
+    ``prints`` has a row per key with its fingerprint, bands, and doc_id and hash of a text
+    that has it. Texts are read a second time, for keys with candidates only.
     """
-    pairs = prints.select("fp", "bands", F.posexplode("bands").alias("band", "low"))
-    first = pairs.withColumn("shard", F.xxhash64("band", "low"))
-    small, large = _by_size(first, tree_size)
-    second = large.select("fp", "shard", F.posexplode("bands").alias("other", "low"))
-    second = second.select("fp", F.xxhash64("shard", "other", "low").alias("shard"))
-    fits, crowded = _by_size(second.distinct(), tree_size)
-    part = F.pmod(F.xxhash64("fp"), F.ceil(F.col("n") / tree_size))
-    parts = crowded.withColumnRenamed("shard", "whole").withColumn("shard", F.xxhash64("whole", part))
-    led = stored(_in_shards(parts, radius, True), "copy-leaders")
-    names = parts.select("whole", "shard").distinct()
-    chosen = led.filter("a = b").join(names, "shard").select(
-        F.col("whole").alias("shard"), F.col("a").alias("fp")
+    shards = _in_shards(copy_shards(prints, tree_size), MEMBERS)
+    groups = shards.mapInArrow(_grouped(radius), "shard long, key binary").distinct()
+    groups = stored(groups, "copy-groups")
+    wanted = prints.join(groups.select("key").distinct(), "key", "left_semi").select(
+        "key", F.col("of.doc_id").alias("_id"), F.col("of.tie").alias("_tie")
     )
-    found = _in_shards(small.select("shard", "fp").unionByName(fits.select("shard", "fp")), radius, False)
-    for more in (led, _in_shards(chosen, radius, False)):
-        found = found.unionByName(more)
-    return found.filter("a != b").select("a", "b").distinct()
-
-
-def _by_size(rows: DataFrame, tree_size: int) -> tuple[DataFrame, DataFrame]:
-    """Rows of shards of 2 to ``tree_size`` members, and those of larger ones."""
-    sizes = rows.groupBy("shard").agg(F.count("*").alias("n")).filter("n > 1")
-    held = stored(rows.join(sizes, "shard"), "copy-shards")
-    return held.filter(F.col("n") <= tree_size), held.filter(F.col("n") > tree_size)
+    texts = documents.select("doc_id", "text", F.xxhash64("text").alias("tie"))
+    # Candidates grow with the documents, so they are never broadcast.
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))
+    chosen = texts.join(wanted.hint("merge"), same).select("key", _sets(F.col("text")).alias("shingles"))
+    chosen = chosen.groupBy("key").agg(F.first("shingles").alias("shingles"))
+    members = _in_shards(groups.join(chosen.hint("merge"), "key"), ["shard", "key", "shingles"])
+    return members.mapInArrow(_compared, "a binary, b binary")
 
 
 def near_copies(
@@ -399,16 +493,25 @@ def near_copies(
 ) -> DataFrame:
     """Per row: doc_id and component_id, the least doc_id among its near copies.
 
-    Near copies have sets of five-word shingles that are similar to about 0.8 or more. The
-    odd cases are those of ``near_duplicates``.
+    Near copies are connected by texts whose sets of five-word shingles are similar to 0.8
+    or more. The odd cases are those of ``near_duplicates``.
     """
     sketches = F.pandas_udf(_sketches, SKETCH_TYPE)
-    rows = documents.select("doc_id", sketches(F.col("text")).alias("s")).select("doc_id", "s.*")
-    rows = stored(rows, "sketches")
-    prints = rows.groupBy("fp", "bands").agg(F.min("doc_id").alias("first_id"))
-    links = stored(copy_links(prints, radius, tree_size), "copies")
-    named = _named(prints.groupBy("fp").agg(F.min("first_id").alias("first_id")), components(links))
-    return rows.select("doc_id", "fp").join(named, "fp").select("doc_id", "component_id")
+    rows = documents.select(
+        "doc_id", F.xxhash64("text").alias("tie"), sketches(F.col("text")).alias("s")
+    )
+    rows = stored(rows.select("doc_id", "tie", "s.*"), "sketches")
+    prints = rows.groupBy("key").agg(
+        F.min("doc_id").alias("first_id"),
+        F.min(F.struct("doc_id", "tie")).alias("of"),
+        # One value per key but for the fingerprint.
+        *[F.min(name).alias(name) for name in ("size", "fp", "bands")],
+    )
+    prints = stored(prints, "prints")
+    links = stored(copy_links(documents, prints, radius, tree_size), "copies")
+    named = _named(prints.select(F.col("key").alias("fp"), "first_id"), components(links))
+    named = named.withColumnRenamed("fp", "key")
+    return rows.select("doc_id", "key").join(named, "key").select("doc_id", "component_id")
 
 
 def one_per_group(documents: DataFrame) -> DataFrame:

@@ -163,6 +163,44 @@ def test_crowded_shards_keep_their_copies_together(make, tree_size):
     assert all(r["component_id"] == r["doc_id"] for r in out if r["doc_id"] >= 100)
 
 
+def alike(rows):
+    """Least id per row of the components of pairs of sets similar to 0.8 or more."""
+    sets = {i: frozenset(op.shingle_hashes(t, 5).tolist()) for i, t in rows}
+    least = lambda a, b: 9 * len(sets[a] & sets[b]) >= 4 * (len(sets[a]) + len(sets[b]))
+    return clusters(sets, least)
+
+
+def found(frame, **more):
+    return {r["doc_id"]: r["component_id"] for r in op.near_copies(frame, **more).collect()}
+
+
+def test_only_sets_similar_to_the_limit_are_linked(make):
+    draw = random.Random(8)
+    rows = []
+    for i in range(40):
+        base = [f"w{draw.randrange(5000)}" for _ in range(304)]
+        other = list(base)
+        for place in range(4, 304, 25 + i):
+            other[place] = "new"
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(other))]
+    want = alike(rows)
+    assert 45 < len(set(want.values())) < 75
+    assert found(make(rows)) == want
+
+
+def test_compared_sets_are_connected_as_all_pairs_are():
+    draw = random.Random(9)
+    for _ in range(100):
+        base = range(20)
+        sets = [{x for x in base if draw.random() < 0.93} | {draw.randrange(99)} for _ in range(draw.randint(2, 25))]
+        near = {i: {j for j, b in enumerate(sets) if 5 * len(a & b) >= 4 * len(a | b)} for i, a in enumerate(sets)}
+        links = op.alike_links([np.array(sorted(s), np.uint64) for s in sets])
+        assert all(b in near[a] for a, b in links)
+        both = {*links, *[(b, a) for a, b in links]}
+        want = clusters(near, lambda a, b: b in near[a])  # noqa: B023
+        assert clusters(near, lambda a, b: (a, b) in both) == want  # noqa: B023
+
+
 def test_one_document_of_each_group_stays(make, edited):
     kept = op.one_per_group(make(edited)).collect()
     want = {c for _, c in copies(edited) if c is not None}
