@@ -11,6 +11,7 @@ in the tree, never all pairs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations, groupby
 from operator import itemgetter
@@ -452,10 +453,30 @@ def _in_shards(rows: DataFrame, names: list[str]) -> DataFrame:
 
 
 def copy_shards(prints: DataFrame, tree_size: int = TREE_SIZE) -> DataFrame:
-    """(shard, key, size, fp): a shard is a pair of minima with two or more members."""
+    """(shard, key, size, fp): shards of about ``tree_size`` members at most.
+
+    A shard is a pair of minima. One with more members is dealt out by the sizes of the
+    sets, each to its own grade and the next, as similar sets are at most a grade apart.
+    What is still larger is cut into parts, and each two parts make a shard. Both hold all
+    pairs of the shard that can be similar enough, so no link depends on a shard's size.
+    """
     pairs = prints.select("key", "size", "fp", F.posexplode("bands").alias("band", "low"))
     fits, crowded = _by_size(pairs.withColumn("shard", F.xxhash64("band", "low")), tree_size)
-    return fits.unionByName(crowded.drop("n"))
+    if crowded.isEmpty():
+        return fits
+    step = math.log(LEAST[1] / LEAST[0])
+    grade = F.floor(F.log(F.greatest("size", F.lit(1))) / step)
+    graded = crowded.withColumn("grade", F.explode(F.array(grade, grade + 1)))
+    graded = graded.withColumn("shard", F.xxhash64("shard", "grade"))
+    more, crowded = _by_size(graded, tree_size)
+    fits = fits.unionByName(more)
+    parts = F.ceil(F.col("n") / max(1, tree_size // 2))
+    cut = crowded.select(*MEMBERS, parts.alias("parts"), F.pmod(F.xxhash64("key"), parts).alias("part"))
+    cut = cut.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    two = F.xxhash64("shard", F.least("part", "other"), F.greatest("part", "other"))
+    # A part alone is in the shards that it makes with others, if there are any.
+    cut = cut.filter("part != other OR parts = 1").withColumn("shard", two)
+    return fits.unionByName(cut.select(*MEMBERS))
 
 
 def _by_size(rows: DataFrame, tree_size: int) -> tuple[DataFrame, DataFrame]:

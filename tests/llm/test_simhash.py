@@ -201,6 +201,31 @@ def test_compared_sets_are_connected_as_all_pairs_are():
         assert clusters(near, lambda a, b: (a, b) in both) == want  # noqa: B023
 
 
+def test_chains_are_whole_in_shards_of_any_size(make):
+    draw = random.Random(10)
+    rows = []
+    for i in range(12):
+        words = [f"w{draw.randrange(5000)}" for _ in range(200)]
+        for k in range(4):
+            rows.append((10 * i + k, " ".join(words)))
+            for place in draw.sample(range(200), 3):
+                words[place] = f"new{draw.randrange(5000)}"
+    want = alike(rows)
+    got = [found(make(rows), tree_size=size) for size in (2, 4096)]
+    assert got[0] == got[1] == want and len(set(want.values())) < 30
+
+
+def test_crowded_shards_are_cut_and_lose_no_pair(spark):
+    rows = [(bytes([n]), n, bytes(32), [1, n % 2]) for n in range(1, 120)]
+    prints = spark.createDataFrame(rows, "key binary, size long, fp binary, bands array<long>")
+    shards = {}
+    for r in op.copy_shards(prints, 8).collect():
+        shards.setdefault(r["shard"], []).append(r["size"])
+    pairs = {(a, b) for s in shards.values() for a in s for b in s if a < b}
+    assert pairs >= {(a, b) for a in range(1, 120) for b in range(a + 1, 120) if 5 * a >= 4 * b}
+    assert max(map(len, shards.values())) <= 20
+
+
 def test_one_document_of_each_group_stays(make, edited):
     kept = op.one_per_group(make(edited)).collect()
     want = {c for _, c in copies(edited) if c is not None}
