@@ -278,12 +278,12 @@ def _named(prints: DataFrame, roots: DataFrame) -> DataFrame:
 COPY_SHINGLE = 5
 COPY_WORDS = 4
 LEAST = (4, 5)
-# Texts whose shingle sets are similar to 0.8 differ in 38.7 of 256 bits on average, with a
-# deviation of 5.7.
-COPY_RADIUS = 49
-# Shards of near copies: texts similar to 0.8 share one of six pairs of minima but for
-# 0.2 per cent of them.
-BANDS = 6
+# Sets similar to 0.8 differ in 39 of 256 bits on average, and at worst, four shingles of
+# five, in 48: then one pair of 1.8 million differs in more than the radius.
+COPY_RADIUS = 80
+# Shards of near copies: sets similar to 0.8 share one of ten pairs of minima but for one
+# pair of 27,000.
+BANDS = 10
 # Shingles that a task compares at once; two texts may hold more.
 GROUP_SHINGLES = 1 << 23
 _SPREAD = 0x9E3779B97F4A7C15
@@ -299,11 +299,11 @@ MEMBERS = ["shard", "key", "size", "fp"]
 
 
 def sketch(text: str | None) -> tuple[bytes, list[int]]:
-    """Wide fingerprint and pairs of MinHash minima of a text's five-word shingles.
+    """Wide fingerprint and pairs of MinHash minima of a text's distinct five-word shingles.
 
     A text of fewer words is one shingle; one without words has zeros.
     """
-    return _sketch_of(shingle_hashes(text, COPY_SHINGLE))
+    return _sketch_of(shingle_set(text))
 
 
 def _sketch_of(hashes: np.ndarray) -> tuple[bytes, list[int]]:
@@ -313,7 +313,6 @@ def _sketch_of(hashes: np.ndarray) -> tuple[bytes, list[int]]:
     for word in range(COPY_WORDS):
         salt = np.uint64((word + 1) * _SPREAD % (1 << 64))
         fp = fp << BITS | majority(mixed(hashes + salt))
-    hashes = np.unique(hashes)
     lows = [
         mixed(hashes ^ np.uint64((n + 101) * _SPREAD % (1 << 64))).min() for n in range(2 * BANDS)
     ]
@@ -329,9 +328,8 @@ def shingle_set(text: str | None) -> np.ndarray:
 def _sketches(texts: pd.Series) -> pd.DataFrame:
     found = []
     for text in texts:
-        hashes = shingle_hashes(text, COPY_SHINGLE)
-        own = np.unique(hashes)
-        found.append((*_sketch_of(hashes), xxhash.xxh3_128_digest(own.tobytes()), len(own)))
+        own = shingle_set(text)
+        found.append((*_sketch_of(own), xxhash.xxh3_128_digest(own.tobytes()), len(own)))
     return pd.DataFrame(found, columns=["fp", "bands", "key", "size"])
 
 
@@ -525,7 +523,7 @@ def near_copies(
     prints = rows.groupBy("key").agg(
         F.min("doc_id").alias("first_id"),
         F.min(F.struct("doc_id", "tie")).alias("of"),
-        # One value per key but for the fingerprint.
+        # One value per key.
         *[F.min(name).alias(name) for name in ("size", "fp", "bands")],
     )
     prints = stored(prints, "prints")

@@ -226,6 +226,19 @@ def test_crowded_shards_are_cut_and_lose_no_pair(spark):
     assert max(map(len, shards.values())) <= 20
 
 
+def test_repeats_and_short_texts_lose_no_copy(make):
+    draw = random.Random(11)
+    rows = []
+    for i in range(30):
+        words = [f"w{draw.randrange(9000)}" for _ in range(9 if i % 2 else 404)]
+        # The same shingles but for the number of times, or five of them against four.
+        other = words[:8] if i % 2 else [w for _ in range(6) for w in words[:100]] + words
+        other = other if i % 2 else words + other
+        words = words if i % 2 else words + words
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    assert found(make(rows)) == alike(rows) == {n: n // 2 * 2 for n in range(60)}
+
+
 def test_one_document_of_each_group_stays(make, edited):
     kept = op.one_per_group(make(edited)).collect()
     want = {c for _, c in copies(edited) if c is not None}
