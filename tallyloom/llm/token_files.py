@@ -110,7 +110,13 @@ def _words(text: str | None) -> list[bytes]:
         return []
     raw = text.encode("utf-8")
     if b"<|" not in raw:
-        raw = STOPS.sub(rb" \1", raw.lower())
+        # NFC joins letters with marks from U+0300 to U+036F (first byte 0xCC or 0xCD), some
+        # only if they are small. Beside such marks only words of ASCII are lower-cased here.
+        if b"\xcc" in raw or b"\xcd" in raw:
+            raw = b" ".join([w.lower() if w.isascii() else w for w in raw.split()])
+        else:
+            raw = raw.lower()
+        raw = STOPS.sub(rb" \1", raw)
     return raw.split()
 
 

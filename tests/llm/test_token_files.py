@@ -33,6 +33,15 @@ def test_words_have_the_ids_of_the_text():
         assert encoder.check(text), text
 
 
+def test_capitals_with_marks_have_the_ids_of_the_text():
+    encoder = op.TextEncoder(PATH)
+    draw = random.Random(2)
+    letters = ["H\u0331", "T\u0308", "W\u030a", "Y\u030a", "J\u030c"]
+    signs = letters + ["a", "B", "\u0331", "\u030c", ". ", ", ", " ", "\n", "É", "T", "J"]
+    for text in letters + ["".join(draw.choice(signs) for _ in range(draw.randint(0, 25))) for _ in range(2000)]:
+        assert encoder.check(text), text
+
+
 def test_cache_may_be_cleared(monkeypatch, tokenizer):
     monkeypatch.setattr(op, "CACHE_WORDS", 3)
     encoder = op.TextEncoder(PATH)
