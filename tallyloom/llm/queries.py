@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm.decontaminate import contaminated
 from tallyloom.llm.exact_dedup import exact_duplicates
 from tallyloom.llm.line_dedup import without_boilerplate
+from tallyloom.llm.merkle_manifest import FIELDS, folded, leaf_of, manifest, siblings_of
 from tallyloom.llm.packing import packed, with_lengths
 from tallyloom.llm.secret_ledger import secret_spans
 from tallyloom.llm.simhash import near_duplicates
@@ -90,6 +91,23 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Where 7 divides the checksum of the id, a row with one more character is claimed.
+    tampered = leaf_of([F.col(name).cast("decimal(38,0)") + 1 if name == "n_chars" else F.col(name) for name in FIELDS])
+    claim = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, tampered)
+    found = manifest(table(spark, sf_dir, "documents"), claim=claim)
+    root = folded(F.coalesce("claim", "leaf"), F.col("proof"))
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        siblings_of(F.col("proof")).alias("proof_sha256"),
+        root.alias("folded_root"),
+        (root == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -103,6 +121,7 @@ QUERIES = {
         op8_simhash,
         op9_token_files,
         op10_substring_dedup,
+        op13_merkle_manifest,
     )
 }
 
@@ -129,6 +148,28 @@ def _found(rank: int, kind: str, pattern: str, test: str) -> str:
         )"""
 
 
+def _leaf(n_chars: str) -> str:
+    fields = [f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", n_chars, "text")]
+    coded = [f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields]
+    return f"sha256({' || '.join(coded)})"
+
+
+def _crc32(text: str) -> str:
+    bits = (
+        "list_reduce(list_prepend(xor(crc, byte), range(8)),"
+        " lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    )
+    codes = f"list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda crc, byte: {bits}), 4294967295)"
+
+
+def _above(nodes: str) -> str:
+    return (
+        f"list_transform(range((len({nodes}) + 1) // 2),"
+        f" lambda i: sha256({nodes}[2 * i + 1] || coalesce({nodes}[2 * i + 2], '')))"
+    )
+
+
 ORACLES = {
     "op1_exact_dedup": """
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
@@ -231,4 +272,53 @@ ORACLES = {
             sha256(coalesce(string_agg(word, ' ' ORDER BY pos)
                 FILTER (last IS NULL OR last <= pos - 35), '')) AS kept_sha256
         FROM documents d LEFT JOIN marked USING (doc_id) GROUP BY d.doc_id""",
+    "op13_merkle_manifest": f"""
+        WITH RECURSIVE leaves AS (
+            SELECT doc_id, coalesce('=' || lang, '') AS grp, {_leaf("n_chars")} AS leaf,
+                CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0
+                    THEN {_leaf("n_chars + 1")} ELSE {_leaf("n_chars")} END AS claim
+            FROM documents
+        ),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS slot
+            FROM leaves
+        ),
+        levels(grp, height, nodes) AS (
+            SELECT grp, 0, list(leaf ORDER BY slot) FROM placed GROUP BY grp
+            UNION ALL
+            SELECT grp, height + 1, {_above("nodes")} FROM levels WHERE len(nodes) > 1
+        ),
+        tops AS (SELECT grp, nodes[1] AS subroot, height FROM levels WHERE len(nodes) = 1),
+        crown(height, nodes) AS (
+            SELECT 0, list(subroot ORDER BY grp) FROM tops
+            UNION ALL
+            SELECT height + 1, {_above("nodes")} FROM crown WHERE len(nodes) > 1
+        ),
+        ways AS (
+            SELECT doc_id, leaf, l.height, slot >> l.height AS place, slot, grp,
+                l.nodes[xor(slot >> l.height, 1) + 1] AS other
+            FROM placed JOIN levels l USING (grp) WHERE len(l.nodes) > 1
+            UNION ALL
+            SELECT doc_id, leaf, t.height + c.height, n >> c.height, slot, grp,
+                c.nodes[xor(n >> c.height, 1) + 1]
+            FROM placed
+            JOIN (SELECT *, row_number() OVER (ORDER BY grp) - 1 AS n FROM tops) t USING (grp)
+            CROSS JOIN crown c WHERE len(c.nodes) > 1
+        ),
+        folds(grp, slot, height, node) AS (
+            SELECT grp, slot, 0, claim FROM placed
+            UNION ALL
+            SELECT f.grp, f.slot, f.height + 1, sha256(CASE WHEN place & 1 = 1
+                THEN other || node ELSE node || coalesce(other, '') END)
+            FROM folds f JOIN ways w ON f.grp = w.grp AND f.slot = w.slot AND f.height = w.height
+        ),
+        proofs AS (
+            SELECT grp, slot, sha256(coalesce(string_agg(other, '' ORDER BY height), '')) AS proof_sha256
+            FROM ways GROUP BY grp, slot
+        ),
+        ends AS (SELECT grp, slot, arg_max(node, height) AS folded_root FROM folds GROUP BY grp, slot)
+        SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root,
+            folded_root = root AS verified
+        FROM placed JOIN tops USING (grp) JOIN ends USING (grp, slot) LEFT JOIN proofs USING (grp, slot)
+        CROSS JOIN (SELECT nodes[1] AS root FROM crown WHERE len(nodes) = 1)""",
 }

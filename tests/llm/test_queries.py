@@ -34,9 +34,9 @@ def test_query_equals_sql(spark, sf_dir, connection, name):
     assert mismatch(queries.QUERIES[name](spark, sf_dir), connection, queries.ORACLES[name]) is None
 
 
-def test_ten_operators_are_registered():
+def test_operators_are_registered():
     numbers = [int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES]
-    assert numbers == list(range(1, 11))
+    assert numbers == sorted({*range(1, 11), *numbers})
     assert set(queries.QUERIES) | {"pipeline"} <= set(contract.queries())
 
 
