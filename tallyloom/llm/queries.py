@@ -13,6 +13,7 @@ from tallyloom.llm.packing import packed, with_lengths
 from tallyloom.llm.secret_ledger import secret_spans
 from tallyloom.llm.simhash import near_duplicates
 from tallyloom.llm.substring_dedup import without_repeats
+from tallyloom.llm.token_alignment import alignment
 from tallyloom.llm.token_files import token_files
 from tallyloom.llm.toxicity import scored
 from tallyloom.llm.url_filter import judged, rule_table
@@ -91,6 +92,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment(table(spark, sf_dir, "documents"), *paths)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Where 7 divides the checksum of the id, a row with one more character is claimed.
     tampered = leaf_of([F.col(name).cast("decimal(38,0)") + 1 if name == "n_chars" else F.col(name) for name in FIELDS])
@@ -121,6 +129,7 @@ QUERIES = {
         op8_simhash,
         op9_token_files,
         op10_substring_dedup,
+        op12_token_alignment,
         op13_merkle_manifest,
     )
 }
