@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.decontaminate import contaminated
 from tallyloom.llm.exact_dedup import exact_duplicates
+from tallyloom.llm.jaccard_join import jaccard_components
 from tallyloom.llm.line_dedup import without_boilerplate
 from tallyloom.llm.merkle_manifest import FIELDS, folded, leaf_of, manifest, siblings_of
 from tallyloom.llm.packing import packed, with_lengths
@@ -92,6 +93,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -129,6 +134,7 @@ QUERIES = {
         op8_simhash,
         op9_token_files,
         op10_substring_dedup,
+        op11_signature_trees,
         op12_token_alignment,
         op13_merkle_manifest,
     )
@@ -281,6 +287,37 @@ ORACLES = {
             sha256(coalesce(string_agg(word, ' ' ORDER BY pos)
                 FILTER (last IS NULL OR last <= pos - 35), '')) AS kept_sha256
         FROM documents d LEFT JOIN marked USING (doc_id) GROUP BY d.doc_id""",
+    "op11_signature_trees": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ),
+        shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE
+                WHEN len(words) >= 5
+                    THEN list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))
+                WHEN len(words) > 0 THEN [array_to_string(words, ' ')] END) AS shingle
+            FROM w
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+            FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id
+        ),
+        links AS (
+            SELECT a, b FROM shared JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+            WHERE 100 * common >= 80 * (x.n + y.n - common)
+        ),
+        reached(a, b) AS (
+            SELECT a, b FROM links
+            UNION
+            SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+        )
+        SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, least(d.doc_id, min(r.b)) AS component_id
+        FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN reached r ON d.doc_id = r.a
+        GROUP BY d.doc_id""",
     "op13_merkle_manifest": f"""
         WITH RECURSIVE leaves AS (
             SELECT doc_id, coalesce('=' || lang, '') AS grp, {_leaf("n_chars")} AS leaf,

@@ -1,0 +1,111 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tallyloom.llm import jaccard_join as op
+from tests.llm.conftest import ODD
+from tests.llm.test_simhash import changed, clusters
+
+
+def plain_set(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4)) or frozenset([tuple(words)] if words else [])
+
+
+def brute(rows):
+    sets = [plain_set(t) for _, t in rows]
+    distinct = list(dict.fromkeys(s for s in sets if s))
+    number = {s: n for n, s in enumerate(distinct)}
+    near = lambda a, b: 100 * len(distinct[a] & distinct[b]) >= 80 * len(distinct[a] | distinct[b])
+    root = clusters(range(len(distinct)), near)
+    least = {}
+    for (doc_id, _), s in zip(rows, sets, strict=True):
+        if s and doc_id is not None:
+            name = root[number[s]]
+            least[name] = min(least.get(name, doc_id), doc_id)
+    return sorted(
+        ((d, len(s), least.get(root[number[s]]) if s else d) for (d, _), s in zip(rows, sets, strict=True)), key=str
+    )
+
+
+def found(frame, **more):
+    rows = op.jaccard_components(frame, **more).collect()
+    return sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows), key=str)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    draw = random.Random(1)
+    out = [*ODD, (8, "a b"), (9, "B  A"), (10, "a\tB"), (11, "a b c d e"), (12, "A b c d e f"), (13, "x " * 9000)]
+    passage = " ".join(f"p{i}" for i in range(46))
+    for i in range(40):
+        base = [f"w{draw.randrange(4000)}" for _ in range(draw.choice([3, 6, 9, 12, 60, 200, 300]))]
+        for k, share in enumerate((0, 0.005, 0.01, 0.02, 0.03)):
+            text = changed(draw, base, share)
+            out.append((100 + 10 * i + k, f"{text} {passage} {text[:40]}" if i % 3 == 0 else text))
+    return out
+
+
+def test_components_equal_brute_force(make, rows):
+    want = brute(rows)
+    assert found(make(rows)) == want
+    assert 60 < len({c for *_, c in want}) < len(rows) - 60
+
+
+@pytest.mark.parametrize(("frequent", "members", "shingles"), [(0, 2, 2048), (50, 3, 1), (1 << 18, 2048, 700)])
+def test_crowded_shards_lose_no_link(make, rows, monkeypatch, frequent, members, shingles):
+    monkeypatch.setattr(op, "CHUNK_LEAST", 2)
+    assert found(make(rows), frequent=frequent, members=members, shingles=shingles) == brute(rows)
+
+
+def test_many_near_copies_are_one_component(make):
+    draw = random.Random(2)
+    base = [f"w{i}" for i in range(500)]
+    own = [(i, changed(draw, base, 0.004)) for i in range(300)] + [(1000 + i, changed(draw, base, 0.2)) for i in range(20)]
+    assert found(make(own), members=16, shingles=4000) == brute(own)
+
+
+def test_prefixes_of_similar_sets_meet():
+    for size in range(1, 400):
+        for other in range(size, size * 5 // 4 + 1):
+            overlap = op.required(size, other)
+            assert 9 * overlap >= 4 * (size + other) > 9 * (overlap - 1)
+            # Sets that share this many have a common one in the first of any order.
+            assert op.prefix_length(size) >= size - overlap + 1 and op.prefix_length(other) >= other - overlap + 1
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_trees_name_all_similar_pairs(seed):
+    draw = random.Random(seed)
+    sets = []
+    for _ in range(60):
+        base = {draw.getrandbits(64) for _ in range(draw.choice([1, 5, 30, 63, 65, 128, 130, 300]))}
+        for _ in range(draw.randrange(1, 5)):
+            other = {x for x in base if draw.random() < 0.95} | {draw.getrandbits(64) for _ in range(len(base) // 25)}
+            sets.append(np.array(sorted(other or base), np.uint64))
+    links = op.tree_candidates([len(s) for s in sets], [op.signature(s) for s in sets], list(range(len(sets))))
+    near = {*links, *[(b, a) for a, b in links]}
+    root = clusters(range(len(sets)), lambda a, b: (a, b) in near)
+    whole = [set(s.tolist()) for s in sets]
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if 9 * len(whole[i] & whole[j]) >= 4 * (len(whole[i]) + len(whole[j]))]
+    assert len(pairs) > 20 and all(root[i] == root[j] for i, j in pairs)
+    # Far pairs are pruned, and each candidate connects two clusters.
+    assert len(links) < len(sets) and len(set(root.values())) > 40
+
+
+def test_shingles_are_those_of_the_words():
+    for a, b in [("a b c", "A\nB c"), ("a b c d e f", "A b C d e F")]:
+        assert op.shingles_of(a).tolist() == op.shingles_of(b).tolist() != []
+    texts = ["a", "a a", "a a a", "a a a a a", "b a", "a b", "é a", None, "", " \n"]
+    assert Counter(map(len, map(op.shingles_of, texts))) == {1: 7, 0: 3}
+    assert len({op.shingles_of(t)[0] for t in texts[:7]}) == 7
+
+
+def test_no_rows(empty):
+    assert op.jaccard_components(empty).collect() == []
