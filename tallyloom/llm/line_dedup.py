@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from tallyloom.session import stored
 
 MAX_RATIO = 0.02
-MIN_PAGES = 5
+# One page says nothing about what a host repeats.
+MIN_PAGES = 2
 
 
 def lines_of(text: Column) -> Column:
@@ -34,8 +35,7 @@ def boilerplate(
 ) -> DataFrame:
     """(host, drop): keys of the lines on over ``max_ratio`` of the host's pages.
 
-    A line also has to be on ``min_pages`` pages, as a ratio says little about a host of
-    few pages. A line counts once per page. Blank lines are never boilerplate. A null
+    A line also has to be on ``min_pages`` pages. A line counts once per page. Blank lines are never boilerplate. A null
     host is a host of its own, written as a null.
     """
     rows = pages.select(F.col(host).alias("host"), F.coalesce("text", F.lit("")).alias("text"))
@@ -67,26 +67,25 @@ def without_boilerplate(
     Two columns are added: ``n_lines`` (before) and ``n_removed``; columns of these names
     are replaced. Kept lines stay in order, joined by line ends. A page of nothing but
     boilerplate keeps its row with an empty text. A null text stays null and has one
-    line. Repeated rows count as pages of their own. An empty table gives no rows.
+    line. Repeated rows count as pages of their own. Other columns may have any names. An
+    empty table gives no rows.
     """
     drops = stored(boilerplate(pages, host, max_ratio, min_pages), "boilerplate").select(
-        F.col("host").alias("_drop_host"), F.col("drop").alias("_drop")
+        F.col("host").alias("of"), "drop"
     )
     names = [n for n in pages.columns if n not in ("n_lines", "n_removed")]
-    rows = pages.select(*names).join(
-        drops, pages[host].eqNullSafe(F.col("_drop_host")), "left"
+    # The caller's row travels as one value, so that its columns cannot meet those made here.
+    rows = pages.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"), F.col(host).alias("host"))
+    rows = rows.join(drops, F.col("host").eqNullSafe(F.col("of")), "left")
+    rows = rows.select("row", "drop", lines_of(F.coalesce("row.text", F.lit(""))).alias("lines"))
+    kept = F.when(F.col("drop").isNull(), F.col("lines")).otherwise(
+        F.filter("lines", lambda line: ~F.array_contains("drop", line_key(line)))
     )
-    lines = lines_of(F.coalesce("text", F.lit("")))
-    rows = rows.withColumn("_lines", lines).withColumn(
-        "_kept",
-        F.when(F.col("_drop").isNull(), F.col("_lines")).otherwise(
-            F.filter("_lines", lambda line: ~F.array_contains("_drop", line_key(line)))
-        ),
-    )
-    removed = F.size("_lines") - F.size("_kept")
-    text = F.when(removed > 0, F.array_join("_kept", "\n")).otherwise(F.col("text"))
+    rows = rows.select("row", "lines", kept.alias("kept"))
+    removed = F.size("lines") - F.size("kept")
+    text = F.when(removed > 0, F.array_join("kept", "\n")).otherwise(F.col("row.text"))
     return rows.select(
-        *[text.alias("text") if name == "text" else F.col(name) for name in names],
-        F.size("_lines").cast("long").alias("n_lines"),
+        *[text.alias("text") if n == "text" else F.col("row").getField(n).alias(n) for n in names],
+        F.size("lines").cast("long").alias("n_lines"),
         removed.cast("long").alias("n_removed"),
     )

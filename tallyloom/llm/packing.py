@@ -118,11 +118,12 @@ def ranked(pieces: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
     """Pieces with their rank among those of equal length, from 0.
 
     A length may be that of very many pieces, so ranks are counted within cells and the
-    cells' totals are added up.
+    cells' totals are added up. ``row`` numbers the pieces and deals them to the cells, so
+    that rows without an id, or of one id, are spread like others.
     """
     cells = max(1, -(-pieces.count() // cell_rows))
-    cell = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(cells))
-    within = Window.partitionBy("n_tokens", "cell").orderBy("doc_id", "piece")
+    cell = F.pmod(F.xxhash64("row"), F.lit(cells))
+    within = Window.partitionBy("n_tokens", "cell").orderBy("row")
     rows = stored(
         pieces.withColumn("cell", cell).withColumn("place", F.row_number().over(within) - 1),
         "packing-ranks",
@@ -155,11 +156,13 @@ def packed(
 
     No document is dropped or shortened. Bins are numbered from 0 and have the least
     permitted size that holds their contents. Among pieces of equal length any order is
-    as good; repeated rows are packed each on its own; null ids are packed, too. Rows
-    without tokens have no piece. An empty table gives no rows.
+    as good; repeated rows are packed each on its own; null ids are packed, too. Documents
+    longer than the largest size are cut. Rows without tokens have no piece. Extra columns
+    are ignored. An empty table gives no rows.
     """
     largest = max(capacities)
-    pieces = stored(pieces_of(lengths.select("doc_id", "n_tokens"), largest), "pieces")
+    pieces = pieces_of(lengths.select("doc_id", "n_tokens"), largest)
+    pieces = stored(pieces.withColumn("row", F.monotonically_increasing_id()), "pieces")
     # At most ``largest`` rows, whatever the number of pieces.
     counts = {
         row["n_tokens"]: row["n"]

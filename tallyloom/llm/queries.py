@@ -246,7 +246,7 @@ ORACLES = {
                 SELECT source, line, count(DISTINCT doc_id) AS n FROM l
                 WHERE trim(line) <> '' GROUP BY source, line
             ) JOIN (SELECT source, count(*) AS pages FROM d GROUP BY source) USING (source)
-            WHERE n >= 5 AND n / pages > CAST(0.02 AS DOUBLE)
+            WHERE n >= 2 AND n / pages > CAST(0.02 AS DOUBLE)
         )
         SELECT doc_id, l.source, count(*) AS n_lines, count(f.line) AS n_removed,
             sha256(coalesce(string_agg(l.line, chr(10) ORDER BY pos) FILTER (f.line IS NULL), ''))

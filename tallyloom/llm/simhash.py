@@ -536,23 +536,23 @@ def near_copies(
 def one_per_group(documents: DataFrame) -> DataFrame:
     """The documents without near copies: of each group the one with the least id.
 
-    All columns are kept. Of rows that repeat the id that stays, one stays. Rows without
-    an id stay, as no answer can name them.
+    All columns are kept, whatever their names. Of rows that repeat the id that stays, one
+    stays. Rows without an id stay, as no answer can name them. Texts that are null or have
+    no word are one group. An empty table gives no rows.
     """
     found = stored(near_copies(documents), "near-copies")
     ids = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.count("*").alias("n"), F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("stays")
     )
-    answers = ids.select(F.col("doc_id").alias("_answer_id"), "n", "stays")
-    answers = stored(answers.withColumnsRenamed({"n": "_n", "stays": "_stays"}), "stays")
+    answers = stored(ids.withColumnRenamed("doc_id", "answer_id"), "stays")
+    # The caller's row travels as one value, so that its columns cannot meet those made here.
+    rows = documents.select(F.struct(*[F.col(f"`{n}`") for n in documents.columns]).alias("row"))
     # Answers grow with the documents, so they are never broadcast.
-    same = F.col("doc_id") == F.col("_answer_id")
-    rows = documents.join(answers.hint("merge"), same, "left").filter(
-        "_stays IS NULL OR _stays = 1"
-    )
-    if not answers.filter("_n > 1 AND _stays = 1").isEmpty():
-        copy = Window.partitionBy("doc_id", "_lone").orderBy("text")
-        lone = F.when(F.col("_n") > 1, F.lit(-1)).otherwise(F.monotonically_increasing_id())
-        rows = rows.withColumn("_lone", lone).withColumn("_copy", F.row_number().over(copy))
-        rows = rows.filter("_copy = 1")
-    return rows.select(*[F.col(name) for name in documents.columns])
+    same = F.col("row.doc_id") == F.col("answer_id")
+    rows = rows.join(answers.hint("merge"), same, "left").filter("stays IS NULL OR stays = 1")
+    if not answers.filter("n > 1 AND stays = 1").isEmpty():
+        copy = Window.partitionBy("row.doc_id", "lone").orderBy("row.text")
+        lone = F.when(F.col("n") > 1, F.lit(-1)).otherwise(F.monotonically_increasing_id())
+        rows = rows.withColumn("lone", lone).withColumn("copy", F.row_number().over(copy))
+        rows = rows.filter("copy = 1")
+    return rows.select(*[F.col("row").getField(n).alias(n) for n in documents.columns])

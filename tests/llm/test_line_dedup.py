@@ -35,3 +35,18 @@ def test_columns_and_no_rows(make, empty):
     assert op.without_boilerplate(empty).collect() == []
     out = op.without_boilerplate(make([(1, "x")]))
     assert out.columns == [c for c in make([]).columns if c != "n_removed"] + ["n_lines", "n_removed"]
+
+
+def test_small_hosts_have_boilerplate(make):
+    rows = [(i, f"menu\nonly {i}", "small") for i in range(4)] + [(9, "menu", "single")]
+    out = op.without_boilerplate(make(rows)).collect()
+    assert {r["doc_id"]: r["text"] for r in out} == {**{i: f"only {i}" for i in range(4)}, 9: "menu"}
+
+
+def test_any_column_names(spark):
+    names = ["drop", "lines", "kept", "row", "host", "of", "_drop", "_kept", "a.b"]
+    rows = [(i, f"menu\n{i}", "s", *names) for i in range(3)]
+    frame = spark.createDataFrame(rows, ["doc_id", "text", "source", *names])
+    out = op.without_boilerplate(frame)
+    assert out.columns == ["doc_id", "text", "source", *names, "n_lines", "n_removed"]
+    assert sorted(map(tuple, out.collect())) == [(i, str(i), "s", *names, 2, 1) for i in range(3)]

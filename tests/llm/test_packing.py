@@ -83,3 +83,12 @@ def test_lengths_and_no_rows(spark, odd, empty, make):
     assert op.packed(op.with_lengths(empty)).collect() == []
     lengths = [(r["doc_id"], r["n_tokens"]) for r in op.with_lengths(odd).collect()]
     check(op.packed(op.with_lengths(odd)).collect(), lengths, op.CAPACITIES)
+
+
+def test_rows_of_one_id_are_spread(spark):
+    frame = spark.range(3000).selectExpr("CAST(NULL AS LONG) AS doc_id", "5L AS n_tokens")
+    pieces = op.pieces_of(frame, 8).withColumn("row", op.F.monotonically_increasing_id())
+    ranks = op.ranked(pieces, 100).collect()
+    assert sorted(r["rank"] for r in ranks) == list(range(3000))
+    lengths = [(None, 5)] * 3000
+    check(op.packed(frame, (8, 16, 32), cell_rows=100).collect(), lengths, (8, 16, 32))

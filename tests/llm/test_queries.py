@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as contract
 import corpus_pipeline
 from tallyloom.llm import queries
-from tallyloom.llm import decontaminate, packing, toxicity
+from tallyloom.llm import decontaminate, line_dedup, packing, toxicity
 from tests.compare import connect, mismatch
 from tests.llm import (
     test_decontaminate,
@@ -116,7 +116,7 @@ def test_pipeline_equals_plain_python(spark, sf_dir):
     model = toxicity.fit(documents, labels)
     rows = [(r["doc_id"], r["text"], r["source"]) for r in documents.collect()]
     rows = [r for r in rows if model.score(r[1]) < toxicity.THRESHOLD]
-    lines = test_line_dedup.brute(rows, 0.02, 5)
+    lines = test_line_dedup.brute(rows, line_dedup.MAX_RATIO, line_dedup.MIN_PAGES)
     texts = [(doc_id, text) for doc_id, text, _, _ in lines]
     stays = {c for _, c in test_simhash.copies(texts)}
     texts = [r for r in texts if r[0] in stays]

@@ -252,3 +252,12 @@ def test_one_document_of_each_group_stays(make, edited):
 def test_no_rows(empty):
     assert op.near_duplicates(empty).collect() == [] and op.one_per_group(empty).collect() == []
     assert op.near_copies(empty).collect() == []
+
+
+def test_any_column_names(spark):
+    names = ["n", "stays", "answer_id", "row", "lone", "copy", "_n", "_stays", "a.b"]
+    rows = [(i, t, *names) for i, t in ((1, "one two"), (2, "one two"), (2, "other"), (3, "four"), (3, "four"))]
+    out = op.one_per_group(spark.createDataFrame(rows, ["doc_id", "text", *names]))
+    assert out.columns == ["doc_id", "text", *names]
+    assert sorted(tuple(r)[:2] for r in out.collect())[0] == (1, "one two")
+    assert all(tuple(r)[2:] == tuple(names) for r in out.collect())
