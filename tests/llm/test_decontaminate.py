@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -38,15 +41,48 @@ def test_tiles_equal_brute_force(size):
     for _ in range(60):
         item = [draw.randrange(size) for _ in range(draw.randint(3, 14))]
         doc = [draw.randrange(size) for _ in range(10)] + item[6:] + item[:6] + [draw.randrange(size)]
-        pairs = [
-            (i, j)
-            for i in range(len(item) - 2)
-            for j in range(len(doc) - 2)
-            if item[i : i + 3] == doc[j : j + 3]
-        ]
-        if pairs:
-            i, j = map(np.array, zip(*pairs, strict=True))
-            assert op.greedy_tiles(i, j, 3) == brute_tiles(item, doc, 3)
+        assert op.tiles_of(np.array(item), np.array(doc), 3) == brute_tiles(item, doc, 3)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_tiles_of_repetitive_texts_equal_brute_force(seed):
+    draw = random.Random(seed)
+    for _ in range(40):
+        period = [draw.randrange(3) for _ in range(draw.randint(1, 3))]
+        item = period * draw.randint(2, 8) + [draw.randrange(4) for _ in range(draw.randint(0, 6))] + period * 3
+        doc = (period * 6 + [draw.randrange(4)]) * draw.randint(1, 4) + item[::-1]
+        assert op.tiles_of(np.array(item), np.array(doc), 3) == brute_tiles(item, doc, 3)
+
+
+LONG = """
+import resource, numpy
+from tallyloom.llm import decontaminate as op
+blocks = [op.Block.of([(1, "la " * 1000), (2, "la la lu " * 300 + "end of it all")])]
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+for text in ("la " * 1_000_000, "la la lu " * 300_000):
+    for block in blocks:
+        print([(n, c, len(t)) for n, c, t in block.matches(text, 0.6)])
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+
+
+def test_repetitive_long_texts_need_little_memory():
+    root = Path(op.__file__).parents[2]
+    out = subprocess.run([sys.executable, "-c", LONG], cwd=root, capture_output=True, text=True, timeout=120, check=True)
+    first, second, grown = out.stdout.splitlines()
+    assert first == "[(0, 1.0, 1)]" and second.startswith("[(1, 0.99")
+    assert int(grown) < 1024
+
+
+def test_items_shorter_than_a_seed_must_be_whole(spark, make):
+    items = [(1, "is two plus two"), (2, "Paris"), (3, "?!"), (4, "two plus"), (None, "no id")]
+    rows = [(10, "What is TWO plus two? Paris."), (11, "two plus"), (12, "plus two"), (13, "a no id b"), (14, None)]
+    out = op.contaminated(make(rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted(((r["doc_id"], r["item_id"], r["coverage"], r["n_tiles"]) for r in out), key=str) == sorted(
+        [(10, 1, 1.0, 1), (10, 2, 1.0, 1), (10, 4, 1.0, 1), (11, 4, 1.0, 1), (13, None, 1.0, 1)], key=str
+    )
+    tile = next(r["tiles"][0] for r in out if r["item_id"] == 1)
+    assert (tile["item_start"], tile["doc_start"], tile["length"]) == (0, 1, 4)
 
 
 ITEMS = [
@@ -73,7 +109,11 @@ def brute(rows, items, least):
         doc = op.tokens_of(text)
         for item_id, words in set(items):
             item = op.tokens_of(words)
-            if len(item) < 5 or len(doc) > 1000:
+            if len(item) < 5:
+                if item and any(doc[j : j + len(item)] == item for j in range(len(doc))):
+                    out.add((doc_id, item_id, 1.0))
+                continue
+            if len(doc) > 1000:
                 continue
             covered = sum(n for _, _, n in brute_tiles(item, doc, 5)) / len(item)
             if covered >= least:
