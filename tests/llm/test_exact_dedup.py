@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,18 +46,52 @@ def test_long_text_and_chains(odd):
 
 
 def test_directory_splits_only_overfull_buckets(spark):
-    # 40 entries in slot 0b000.., one in each of two slots of the other half.
-    keys = [(i,) for i in range(40)] + [(1 << 63 - 1,), (3 << 61,)]
-    entries = spark.createDataFrame(keys, "key long")
-    directory = op.directory_of(entries, bucket_entries=41, key_bits=63).collect()
-    depth = {r["slot"]: r["local_depth"] for r in directory}
-    assert set(depth.values()) == {1} and len({r["bucket"] for r in directory}) == 2
-    # Keys that no bit tells apart end in one bucket at the finest depth.
-    same = entries.filter("key < 40")
-    assert {r["local_depth"] for r in op.directory_of(same, 4, 63).collect()} == {8}
+    # 40 keys at the low end, one in each of two places of the other half.
+    keys = spark.createDataFrame([(i,) for i in range(40)] + [(1 << 62,), (3 << 61,)], "key long")
+    directory = op.directory_of(keys, bucket_entries=41, key_bits=63)
+    assert directory.depths.tolist() == [1, 1] and directory.starts.tolist() == [0, 1 << 62]
+    # Crowded keys are split as deep as it takes, and nothing else is.
+    deep = op.directory_of(keys, bucket_entries=4, key_bits=63)
+    sizes = np.bincount(deep.bucket_of(np.array([r[0] for r in keys.collect()])), minlength=len(deep.starts))
+    assert sizes.max() <= 4 and deep.depths.max() == 61 and len(deep.starts) < 75
+    # Keys that no bit tells apart end in one bucket.
+    same = spark.createDataFrame([(5,), (5,), (5,), (4,)], "key long")
+    assert op.directory_of(same, 2, 63).depths.max() == 63
 
 
 def test_buckets_hold_what_they_may(make):
-    index = op.build_index(make([(i, f"t{i}") for i in range(400)]), 50)
+    index, directory = op.build_index(make([(i, f"t{i}") for i in range(400)]), 50)
     sizes = index.groupBy("bucket").agg(F.count("*").alias("n")).collect()
     assert len(sizes) > 8 and max(r["n"] for r in sizes) <= 50
+    assert {r["bucket"] for r in sizes} <= set(range(len(directory.starts)))
+
+
+def test_answers_come_from_the_buckets_of_the_directory(make, monkeypatch):
+    rows = [(i, f"text {i % 200}") for i in range(400)]
+    index, directory = op.build_index(make(rows), 50)
+    monkeypatch.setattr(op, "build_index", lambda *_: (index, op.Directory(directory.starts + np.uint64(1 << 62), directory.depths)))
+    assert op.exact_duplicates(make(rows), 50).count() < len(rows)
+    monkeypatch.setattr(op, "build_index", lambda *_: (index, directory))
+    assert found(op.exact_duplicates(make(rows), 50)) == brute(rows)
+
+
+def test_owners_add_up_and_compare_bytes():
+    columns = [[0, 0, 0, 0, 1], [7, 7, 7, 7, 9], ["a", "b", "a", "a", "c"], [1, 5, None, 3, None], [2, 1, 4, 1, 2]]
+    batch = op.pa.RecordBatch.from_arrays(
+        [op.pa.array(c, op.pa.string() if i == 2 else op.pa.int64()) for i, c in enumerate(columns)],
+        ["bucket", "key", "text", "keep_id", "copies"],
+    )
+    parts = [batch.slice(i, 1) for i in range(5)]
+    rows = [tuple(r.values()) for out in op._owned(parts) for r in out.to_pylist()]
+    digest = {t: hashlib.sha256(t.encode()).hexdigest() for t in "abc"}
+    first, second = sorted("ab", key=digest.get)
+    sums = {"a": (3, 7), "b": (5, 1)}
+    assert rows == [
+        (0, 7, 0, digest[first], *sums[first]), (0, 7, 1, digest[second], *sums[second]), (1, 9, 0, digest["c"], None, 2)
+    ]
+
+
+def test_tasks_hold_few_texts(make, monkeypatch):
+    monkeypatch.setattr(op, "COMBINE_BYTES", 100)
+    rows = [*ODD, *[(100 + i, f"text {i % 23}") for i in range(80)]]
+    assert found(op.exact_duplicates(make(rows))) == brute(rows)
