@@ -1,7 +1,8 @@
 """Toxic passages as maximum-scoring segments of token log-odds.
 
 Tokens get the log-odds of toxic against other labelled documents under an informative
-Dirichlet prior. A document is scanned once, in time linear in its tokens, for all
+Dirichlet prior, which follows the tokens' shares in all documents. Tokens that clearly speak
+for or against toxicity keep their weight. A document is scanned once, in time linear in its tokens, for all
 maximal segments of positive total score. A segment's score is judged by the
 extreme-value distribution of such scores in random text of that length (Karlin and
 Altschul), and the evidence of all significant segments is calibrated to a probability.
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,15 +25,17 @@ from tallyloom.session import stored
 # Bound on the labelled rows that the model is fitted on: all of them below it, beyond it
 # the ones with the smallest hashes of their ids.
 MAX_TRAIN_ROWS = 20_000
-# Bound on the tokens with a weight of their own: the most telling ones.
-MAX_TOKENS = 50_000
 PRIOR_STRENGTH = 500.0
 # Tokens below this many standard errors count as any other token: with some 10 ** 6
 # tokens a lower bound lets chance in.
 MIN_Z = 3.3
+MAX_WEIGHT = 6.0
 SIGNIFICANT = 0.05
-# Evidence beyond this is as good as certain; keeps single documents from ruling the curve.
+# Evidence is bent so that it comes near to this and never reaches it; keeps single documents
+# from ruling the curve, and more evidence is still more.
 EVIDENCE_CEILING = 40.0
+# Distinct tokens that a task counts before it hands them on.
+TASK_TOKENS = 500_000
 THRESHOLD = 0.3
 TOKEN = re.compile(r"[^\W_]+")
 # Java's form of the same tokens.
@@ -160,6 +164,28 @@ def training_rows(
     return rows.join(F.broadcast(chosen), "doc_id").select("toxic", "text", weigh.alias("weigh"))
 
 
+def _occurrences(batches):
+    counts: Counter = Counter()
+    for batch in batches:
+        for text in batch["text"]:
+            counts.update(set(TOKEN.findall(text.lower())))
+            if len(counts) > TASK_TOKENS:
+                yield _listed(counts)
+                counts.clear()
+    yield _listed(counts)
+
+
+def _listed(counts: Counter) -> pd.DataFrame:
+    return pd.DataFrame({"token": pd.Series(list(counts), dtype="object"), "seen": pd.Series(list(counts.values()), dtype="int64")})
+
+
+def corpus_counts(documents: DataFrame) -> DataFrame:
+    """(token, seen): how many of all documents have the token."""
+    texts = documents.select("text").filter("text IS NOT NULL AND text != ''")
+    found = texts.mapInPandas(_occurrences, "token string, seen long")
+    return found.groupBy("token").agg(F.sum("seen").alias("seen"))
+
+
 def token_counts(rows: DataFrame) -> DataFrame:
     """(token, toxic documents, other documents) of the training rows."""
     tokens = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TOKEN_PATTERN), F.lit(0)))
@@ -174,13 +200,13 @@ def token_counts(rows: DataFrame) -> DataFrame:
 
 
 def log_odds(counts: DataFrame, prior: float = PRIOR_STRENGTH) -> DataFrame:
-    """(token, delta, z): log-odds with a Dirichlet prior in proportion to all counts."""
-    sums = counts.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).first()
-    all_bad, all_good = float(sums["bad"] or 0), float(sums["good"] or 0)
+    """(token, delta, z): log-odds with a Dirichlet prior in proportion to ``seen``."""
+    sums = counts.agg(*[F.sum(name).alias(name) for name in ("bad", "good", "seen")]).first()
+    all_bad, all_good, all_seen = (float(sums[name] or 0) for name in ("bad", "good", "seen"))
     everything = all_bad + all_good
     # The prior of a token: one document and its share of ``prior`` documents, dealt to the
     # two kinds by their size, so that it favours neither.
-    each = F.lit(1.0) + F.lit(prior) * (F.col("bad") + F.col("good")) / everything
+    each = F.lit(1.0) + F.lit(prior) * F.col("seen") / max(all_seen, 1.0)
     bad = F.col("bad") + each * all_bad / everything
     good = F.col("good") + each * all_good / everything
     delta = F.log(bad / (all_bad + prior - bad)) - F.log(
@@ -189,21 +215,20 @@ def log_odds(counts: DataFrame, prior: float = PRIOR_STRENGTH) -> DataFrame:
     return counts.select("token", delta.alias("delta"), (delta / F.sqrt(1 / bad + 1 / good)).alias("z"))
 
 
-def fit(
-    documents: DataFrame,
-    labels: DataFrame,
-    max_rows: int = MAX_TRAIN_ROWS,
-    max_tokens: int = MAX_TOKENS,
-) -> ToxicityModel:
-    """Fit on labelled rows outside the held-out quarter; see the bounds above.
+def fit(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> ToxicityModel:
+    """Fit on labelled rows outside the held-out quarter; see the bound above.
 
     Without usable labels of both kinds every document gets the score of the prior.
     """
-    rows = training_rows(documents, labels, max_rows)
-    counts = stored(token_counts(rows.filter("weigh")), "token-counts")
-    odds = log_odds(counts).filter(F.col("z") >= MIN_Z)
-    best = odds.orderBy(F.desc("z"), "token").limit(max_tokens).collect()
-    weights = {r["token"]: min(r["delta"], 6.0) for r in best if r["delta"] > 0}
+    rows = stored(training_rows(documents, labels, max_rows), "training-rows")
+    counts = token_counts(rows.filter("weigh"))
+    # Few tokens are cut differently here and there; they have their own count.
+    seen = F.coalesce("seen", F.col("bad") + F.col("good")).alias("seen")
+    counts = counts.join(corpus_counts(documents), "token", "left").select("token", "bad", "good", seen)
+    counts = stored(counts, "token-counts")
+    # Bounded by the tokens of the training rows.
+    odds = log_odds(counts).filter(F.abs("z") >= MIN_Z).collect()
+    weights = {r["token"]: max(-MAX_WEIGHT, min(r["delta"], MAX_WEIGHT)) for r in odds}
     draft = ToxicityModel(weights, -1.0, 1.0, 1.0, 1.0, 0.0)
     rest = rows.filter("NOT weigh").select("toxic", "text")
     seen = rest.mapInPandas(_tally(draft), _TALLY).collect()
@@ -240,15 +265,19 @@ def calibrated(draft: ToxicityModel, seen) -> ToxicityModel:
     tokens = sum(r["tokens"] for r in clean) + 1
     scores = np.concatenate([np.array(r["scores"], float) for r in clean] + [np.zeros(1)])
     scores = scores[scores != 0]
-    other = -max(0.1, 2.0 * float(scores.sum()) / tokens)
-    share = max(len(scores), 1) / (tokens + 1)
-    lam = _root(scores if len(scores) else np.array([1.0]), share, other)
+    rising = scores[scores > 0]
+    other = -max(0.1, 2.0 * float(rising.sum()) / tokens)
+    k = max(len(rising), 1) / (tokens + 1)
+    if len(rising):
+        lam = _root(scores, len(scores) / (tokens + 1), other)
+    else:
+        lam = _root(np.array([1.0]), k, other)
     labelled = [
-        (_evidence(r, other, lam, share), bool(r["toxic"]))
+        (_evidence(r, other, lam, k), bool(r["toxic"]))
         for r in seen
     ]
     slope, offset = _logistic(labelled)
-    return ToxicityModel(draft.weights, other, lam, share, slope, offset)
+    return ToxicityModel(draft.weights, other, lam, k, slope, offset)
 
 
 def _evidence(row, other: float, lam: float, k: float) -> float:
@@ -260,7 +289,7 @@ def _evidence(row, other: float, lam: float, k: float) -> float:
 
 def _summed(logs: list[float]) -> float:
     significant = sum(x for x in logs if x > -math.log(SIGNIFICANT))
-    return min(float(significant), EVIDENCE_CEILING)
+    return float(significant) * EVIDENCE_CEILING / (EVIDENCE_CEILING + float(significant))
 
 
 def _root(scores: np.ndarray, share: float, other: float) -> float:
@@ -334,7 +363,11 @@ def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def without_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not predicted toxic, with all their columns."""
+    """The documents that are not predicted toxic, with all their columns, whatever their names.
+
+    Null and empty texts have no evidence. Rows without an id and repeated rows are judged
+    by their texts, very long ones whole. An empty table gives no rows.
+    """
     model = fit(documents, labels)
     score = toxicity_score(documents.sparkSession, model)
     return documents.filter(score(F.coalesce("text", F.lit(""))) < THRESHOLD)
