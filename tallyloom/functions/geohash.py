@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Sequence
 from fractions import Fraction
 from numbers import Real
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 Bound = Column | Real
 
 # Up to this many bits per dimension the quotient that finds a cell is off by at
-# most one cell, and up to this many bits in all a hash fits into one long.
+# most one cell.
 MAX_DIRECT_DIGITS = 50
-MAX_DIRECT_BITS = 63
+# Up to this many dimensions each has expressions of its own, in generated code; more are
+# gone through as an array, so that plans stay small.
+OWN_EXPRESSIONS = 8
 
 
 def geohash_bits(
@@ -29,10 +29,9 @@ def geohash_bits(
     whether the value is below the middle of the range left (0) or not (1), also
     for a value outside the range; a null coordinate gives null.
 
-    Where the edges of all cells are exact doubles and the hash fits into one
-    long, the cell of a value follows from one division that is then checked
-    against the cell's edges, all in generated code. Longer hashes, other ranges
-    and ranges held in Columns are halved step by step over Arrow batches.
+    Where the edges of all cells are exact doubles, the cell of a value follows from one
+    division that is then checked against the cell's edges. Other ranges and ranges held in
+    Columns are halved step by step. Both are SQL functions, for hashes of any length.
     """
     if digits < 1:
         raise ValueError("digits must be at least 1")
@@ -40,16 +39,13 @@ def geohash_bits(
         if isinstance(low, Real) and isinstance(high, Real) and not high > low:
             raise ValueError(f"empty or unitary range: ({low}, {high})")
     coordinates = _coordinates(value, len(ranges))
-    short = digits <= MAX_DIRECT_DIGITS and digits * len(ranges) <= MAX_DIRECT_BITS
-    if short and all(_exact_edges(low, high, digits) for low, high in ranges):
-        cells = [
-            _cell_number(coordinate, float(low), float(high), digits)
-            for coordinate, (low, high) in zip(coordinates, ranges)
-        ]
-        bits = _woven_bits(cells, digits)
+    exact = digits <= MAX_DIRECT_DIGITS and all(_exact_edges(low, high, digits) for low, high in ranges)
+    if exact and len(ranges) <= OWN_EXPRESSIONS:
+        edges = [(F.lit(float(low)), F.lit(float(high))) for low, high in ranges]
+        cells = [_cell_number(x, *pair, digits) for x, pair in zip(coordinates, edges)]
+        bits = F.concat(*[_digit_bits(cells, digits - 1 - d) for d in range(digits)])
     else:
-        bounds = [bound for pair in ranges for bound in _checked_range(*pair)]
-        bits = _halving_udf(digits)(*coordinates, *bounds)
+        bits = _woven(coordinates, [_checked_range(*pair) for pair in ranges], digits, exact)
     known = coordinates[0].isNotNull()
     for coordinate in coordinates[1:]:
         known = known & coordinate.isNotNull()
@@ -77,7 +73,7 @@ def _exact_edges(low: Bound, high: Bound, digits: int) -> bool:
     return unit < 2**1000 and max(abs(start), abs(end)) * unit <= 2**53
 
 
-def _cell_number(x: Column, low: float, high: float, digits: int) -> Column:
+def _cell_number(x: Column, low: Column, high: Column, digits: int) -> Column:
     """Number of the cell of ``x`` among ``2**digits``; exact edges are assumed."""
     step = (high - low) / 2**digits
     guess = F.floor((x - low) / step)
@@ -87,19 +83,39 @@ def _cell_number(x: Column, low: float, high: float, digits: int) -> Column:
     return F.when(x < low, 0).when(x >= high, 2**digits - 1).otherwise(exact).cast("bigint")
 
 
-def _woven_bits(cells: list[Column], digits: int) -> Column:
-    """Bits of the cell numbers, one of each in turn, most significant first."""
-    size = len(cells)
-    # Four bits of a cell number, spread to every size-th bit of a long.
-    spread = [sum((n >> b & 1) << b * size for b in range(4)) for n in range(16)]
-    table = F.array(*[F.lit(entry).cast("bigint") for entry in spread])
+def _digit_bits(cells: list[Column], place: int) -> Column:
+    """The bit of each cell number at ``place``, one after another as text."""
     code = F.lit(0).cast("bigint")
     for i, cell in enumerate(cells):
-        for first in range(0, digits, 4):
-            four = F.shiftright(cell, first).bitwiseAND(F.lit(15).cast("bigint"))
-            woven = F.get(table, four.cast("int"))
-            code = code.bitwiseOR(F.shiftleft(woven, first * size + size - 1 - i))
-    return F.lpad(F.bin(code), digits * size, "0")
+        bit = F.shiftright(cell, place).bitwiseAND(F.lit(1).cast("bigint"))
+        code = code.bitwiseOR(F.shiftleft(bit, len(cells) - 1 - i))
+    return F.lpad(F.bin(code), len(cells), "0")
+
+
+def _woven(
+    coordinates: list[Column], edges: list[tuple[Column, Column]], digits: int, exact: bool
+) -> Column:
+    """Bits of all dimensions in turn, from an array with the bits of each."""
+    xs, lows, highs = F.array(*coordinates), *(F.array(*[pair[k] for pair in edges]) for k in (0, 1))
+
+    def own(x: Column, low: Column, high: Column) -> Column:
+        if exact:
+            return F.lpad(F.bin(_cell_number(x, low, high, digits)), digits, "0")
+        return _halved(x, low, high, digits)
+
+    def each(start: Column) -> Column:
+        return own(start["x"], start["low"], start["high"])
+
+    zipped = F.transform(xs, lambda x, i: F.struct(x.alias("x"), F.get(lows, i).alias("low"), F.get(highs, i).alias("high")))
+
+    def digit(number: int):
+        return lambda one: F.substring(one, number, 1)
+
+    def in_turn(dimensions: Column) -> Column:
+        return F.concat(*[F.array_join(F.transform(dimensions, digit(d + 1)), "") for d in range(digits)])
+
+    # An array of one, so that the dimensions' bits are worked out once.
+    return F.get(F.transform(F.array(F.transform(zipped, each)), in_turn), F.lit(0))
 
 
 def _checked_range(low: Bound, high: Bound) -> tuple[Column, Column]:
@@ -110,26 +126,88 @@ def _checked_range(low: Bound, high: Bound) -> tuple[Column, Column]:
     return low_column, checked
 
 
-def _halving_udf(digits: int):
-    @F.pandas_udf(T.StringType())
-    def halve(*columns: pd.Series) -> pd.Series:
-        size = len(columns) // 3
-        rows = len(columns[0])
-        arrays = [column.to_numpy(dtype=np.float64) for column in columns]
-        lows = [low.copy() for low in arrays[size::2]]
-        highs = [high.copy() for high in arrays[size + 1 :: 2]]
-        bits = np.empty((rows, digits, size), dtype=np.uint8)
-        for d in range(digits):
-            for i, x in enumerate(arrays[:size]):
-                middle = (lows[i] + highs[i]) / 2
-                above = ~(x < middle)
-                lows[i] = np.where(above, middle, lows[i])
-                highs[i] = np.where(above, highs[i], middle)
-                bits[:, d, i] = above
-        text = (bits.reshape(rows, digits * size) + ord("0")).astype(np.uint8)
-        return pd.Series([row.tobytes().decode("ascii") for row in text], dtype=object)
-
-    return halve
+def _halved(x: Column, low: Column, high: Column, digits: int) -> Column:
+    """Bits of one dimension, by halving its range ``digits`` times."""
+
+    def step(state: Column, _: Column) -> Column:
+        middle = (state["low"] + state["high"]) / 2
+        # NaN sorts above every number here and so is never below the middle.
+        below = x < middle
+        return F.struct(
+            F.when(below, state["low"]).otherwise(middle).alias("low"),
+            F.when(below, middle).otherwise(state["high"]).alias("high"),
+            F.concat(state["bits"], F.when(below, "0").otherwise("1")).alias("bits"),
+        )
+
+    start = F.struct(low.alias("low"), high.alias("high"), F.lit("").alias("bits"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(digits)), start, step, lambda state: state["bits"])
+
+
+def box_intervals(
+    ranges: Sequence[tuple[Real, Real]],
+    digits: int,
+    low: Sequence[Real],
+    high: Sequence[Real],
+    limit: int = 64,
+) -> list[tuple[str, str]]:
+    """Key intervals [from, to) of bit strings that hold every point of a box.
+
+    A cell that the box meets in part is halved by the next bit of the interleaving, the
+    largest cells first, until ``limit`` intervals are there; what is then still met in
+    part is taken whole. Neighbouring intervals are joined. The union covers the box's
+    points and, for boxes that end on edges of cells or a large limit, little else.
+    """
+    size = len(ranges)
+    first = [_cell_of(x, *r, digits) for x, r in zip(low, ranges, strict=True)]
+    last = [_cell_of(x, *r, digits) for x, r in zip(high, ranges, strict=True)]
+    whole = (0, "", tuple((0, (1 << digits) - 1) for _ in ranges))
+    open_cells, done = [whole], []
+    while open_cells:
+        depth, prefix, cell = heapq.heappop(open_cells)
+        if any(b < x or a > y for (a, b), x, y in zip(cell, first, last)):
+            continue
+        inside = all(x <= a and b <= y for (a, b), x, y in zip(cell, first, last))
+        if inside or depth == size * digits or len(open_cells) + len(done) >= limit - 1:
+            done.append(prefix)
+            continue
+        dim = depth % size
+        a, b = cell[dim]
+        middle = (a + b) // 2
+        for bit, half in (("0", (a, middle)), ("1", (middle + 1, b))):
+            heapq.heappush(open_cells, (depth + 1, prefix + bit, (*cell[:dim], half, *cell[dim + 1 :])))
+    # "2" follows all bit strings that begin with a prefix.
+    joined: list[list[str]] = []
+    for prefix in sorted(done):
+        start = prefix.ljust(size * digits, "0")
+        if joined and _next(joined[-1][1]) == start:
+            joined[-1][1] = prefix.ljust(size * digits, "1")
+        else:
+            joined.append([start, prefix.ljust(size * digits, "1")])
+    return [(start, end + "2") for start, end in joined]
+
+
+def _next(bits: str) -> str:
+    """The bit string after ``bits``, or an empty one after the last."""
+    return f"{int(bits, 2) + 1:0{len(bits)}b}" if "0" in bits else ""
+
+
+def _cell_of(x: Real, low: Real, high: Real, digits: int) -> int:
+    """Cell number of one coordinate by the same halving as ``geohash_bits``."""
+    low, high, cell = float(low), float(high), 0
+    for _ in range(digits):
+        middle = (low + high) / 2
+        below = x < middle
+        low, high = (low, middle) if below else (middle, high)
+        cell = 2 * cell + (not below)
+    return cell
+
+
+def in_intervals(bits: Column, intervals: Sequence[tuple[str, str]]) -> Column:
+    """True if a bit string lies in one of the intervals; prunes row groups of a sorted table."""
+    hit = F.lit(False)
+    for start, end in intervals:
+        hit = hit | ((bits >= start) & (bits < end))
+    return hit
 
 
 def in_cell(bits: Column, prefix: Column | str) -> Column:

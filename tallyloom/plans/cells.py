@@ -6,26 +6,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.operators.pivot import axis_labels, cell_pivot
-from tallyloom.session import scratch_dir
+from tallyloom.session import stored_table
 from tallyloom.sources import cells
 from tallyloom.sources.tables import EVENT_TYPES, customer_cells, event_cells, table
 
 
-# Paths of stored tables by application and input.
-_STORED: dict[tuple[str, str], str] = {}
-
-
 def q_cells_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.scan(spark, _stored_cells(spark, sf_dir))
 
 
 def _stored_cells(spark: SparkSession, sf_dir: str) -> str:
     """Path of the customers' cells as a sorted table, written once per session and input."""
-    written = (spark.sparkContext.applicationId, sf_dir)
-    if written not in _STORED:
-        _STORED[written] = scratch_dir(spark, "cells")
-        cells.write_cells(customer_cells(spark, sf_dir), _STORED[written])
-    return _STORED[written]
+    write = lambda path: cells.write_cells(customer_cells(spark, sf_dir), path)
+    return stored_table(spark, "cells", f"{sf_dir}/customer.parquet", write)
 
 
 def q_cells_range(spark: SparkSession, sf_dir: str) -> DataFrame:

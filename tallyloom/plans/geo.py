@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tallyloom.functions.encoding import base16_bits, base32_bits
 from tallyloom.functions.geo import nearest_place
 from tallyloom.functions.geohash import geohash_bits
-from tallyloom.operators.geosearch import cell_of, nearest_points, points_in_cell
-from tallyloom.session import scratch_dir
+from tallyloom.operators.geosearch import cell_of, nearest_points, points_in_box, points_in_cell
+from tallyloom.session import stored_table
 from tallyloom.sources.files import places_rows
 from tallyloom.sources.tables import PLACES, VECTOR_SIZE, customer_points, table, vectors
 
@@ -46,29 +46,56 @@ def q_geohash_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points_in_cell(_stored_hashes(spark, sf_dir), "bits", prefix).select("vec_id", "bits")
 
 
-# Tables of hashed points by application and input.
-_STORED: dict[tuple[str, str], str] = {}
-
-
 def _stored_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hashed points as a table in the order of their bits, so that a cell is a few row groups."""
-    written = (spark.sparkContext.applicationId, sf_dir)
-    if written not in _STORED:
-        _STORED[written] = scratch_dir(spark, "points")
-        rows = _hashed(spark, sf_dir).select("vec_id", "bits")
-        rows.repartitionByRange("bits", "vec_id").sortWithinPartitions("bits").write.parquet(_STORED[written])
-    return spark.read.parquet(_STORED[written])
+    rows = _hashed(spark, sf_dir).select("vec_id", "bits", *AXES)
+    path = stored_table(spark, "points", f"{sf_dir}/embeddings.parquet", lambda path: _write_sorted(rows, path))
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _write_sorted(rows: DataFrame, path: str) -> None:
+    # The second key deals a cell of very many points to several files.
+    rows.repartitionByRange("bits", rows.columns[0]).sortWithinPartitions("bits").write.parquet(path)
 
 
 def q_geohash_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points, axes = _stored_hashes(spark, sf_dir), [F.col(axis) for axis in AXES]
     target = _first_point(spark, sf_dir)
-    prefix = cell_of(spark, RANGES, 1, target)
-    axes = [F.col(axis) for axis in AXES]
-    points = _hashed(spark, sf_dir)
-    found = nearest_points(points, "bits", prefix, axes, target, 5, [F.col("vec_id")])
+    found = nearest_points(points, "bits", axes, RANGES, DIGITS, target, 5, [F.col("vec_id")])
     return found.select("vec_id", "rank")
 
 
+EARTH = [(-90.0, 90.0), (-180.0, 180.0)]
+EARTH_DIGITS = 16
+
+
+def _stored_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers' places with geohash bits, as a table in the order of the bits."""
+    points = customer_points(spark, sf_dir).select("c_custkey", "lat", "long")
+    rows = points.withColumn("bits", geohash_bits(EARTH, EARTH_DIGITS, [F.col("lat"), F.col("long")]))
+    path = stored_table(spark, "places", f"{sf_dir}/customer.parquet", lambda path: _write_sorted(rows, path))
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def q_geohash_box(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in a box of latitudes and longitudes, read by key intervals."""
+    at = [F.col("lat"), F.col("long")]
+    points = _stored_customers(spark, sf_dir)
+    return points_in_box(points, "bits", at, EARTH, EARTH_DIGITS, *BOX).select("c_custkey", "lat", "long")
+
+
+def q_geohash_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten customers nearest to a point, by the angles' plain distance."""
+    at = [F.col("lat"), F.col("long")]
+    points = _stored_customers(spark, sf_dir)
+    found = nearest_points(points, "bits", at, EARTH, EARTH_DIGITS, NEAR, 10, [F.col("c_custkey")])
+    return found.select("c_custkey", "rank")
+
+
+BOX = (38.05, -7.05), (39.95, -4.85)
+NEAR = (38.43, -6.77)
+
+
 def q_geohash_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     cell = F.substr("bits", F.lit(1), F.lit(DIMENSIONS * 2)).alias("cell")
     return _hashed(spark, sf_dir).groupBy(cell).agg(F.count(F.lit(1)).alias("n"))
@@ -100,6 +127,8 @@ QUERIES = {
     "geohash_b32": q_geohash_b32,
     "geohash_prefix": q_geohash_prefix,
     "geohash_knn": q_geohash_knn,
+    "geohash_box": q_geohash_box,
+    "geohash_near": q_geohash_near,
     "geohash_cells": q_geohash_cells,
     "geohash_checked": q_geohash_checked,
     "nearest_place": q_nearest_place,
@@ -166,6 +195,18 @@ ORACLES = {
                CAST(row_number() OVER (ORDER BY {_SQUARES}, h.vec_id) AS INTEGER) AS rank
         FROM h, q QUALIFY rank <= 5
     """,
+    "geohash_box": f"""
+        SELECT * FROM (SELECT c_custkey, {_POINT[0]} AS lat, {_POINT[1]} AS long FROM customer)
+        WHERE lat BETWEEN {BOX[0][0]}::DOUBLE AND {BOX[1][0]}::DOUBLE
+            AND long BETWEEN {BOX[0][1]}::DOUBLE AND {BOX[1][1]}::DOUBLE
+    """,
+    "geohash_near": f"""
+        SELECT c_custkey, CAST(row_number() OVER (ORDER BY d, c_custkey) AS INTEGER) AS rank FROM (
+            SELECT c_custkey, (lat - {NEAR[0]}::DOUBLE) * (lat - {NEAR[0]}::DOUBLE)
+                + (long - {NEAR[1]}::DOUBLE) * (long - {NEAR[1]}::DOUBLE) AS d
+            FROM (SELECT c_custkey, {_POINT[0]} AS lat, {_POINT[1]} AS long FROM customer))
+        QUALIFY rank <= 10
+    """,
     "geohash_cells": f"""
         SELECT substr(bits, 1, {DIMENSIONS * 2}) AS cell, count(*) AS n FROM ({_BITS}) GROUP BY 1
     """,

@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -106,7 +107,10 @@ _SCRATCH: dict[str, list[str]] = {}
 
 def clear_scratch(spark: SparkSession) -> None:
     """Delete all folders that this application got; results that read them end with them."""
-    for folder in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+    application = spark.sparkContext.applicationId
+    for key in [key for key in _TABLES if key[0] == application]:
+        del _TABLES[key]
+    for folder in _SCRATCH.pop(application, []):
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -122,6 +126,31 @@ def stored(rows: DataFrame, purpose: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+# Folders of stored tables by application, purpose and state of the input.
+_TABLES: dict[tuple, str] = {}
+
+
+def stored_table(spark: SparkSession, purpose: str, source: str, write: Callable[[str], None]) -> str:
+    """Folder of a table that ``write`` made of the input at ``source``, once per state of it.
+
+    The folder is remembered when it is whole, and forgotten when scratch is cleared or the
+    input changes its size, its number of files or its time.
+    """
+    key = (spark.sparkContext.applicationId, purpose, source, *_state_of(spark, source))
+    if key not in _TABLES:
+        folder = scratch_dir(spark, purpose)
+        write(folder)
+        _TABLES[key] = folder
+    return _TABLES[key]
+
+
+def _state_of(spark: SparkSession, source: str) -> tuple[int, int, int]:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    held = files.getContentSummary(path)
+    return held.getLength(), held.getFileCount(), files.getFileStatus(path).getModificationTime()
+
+
 def state_partitions(spark: SparkSession) -> int:
     """Partition count for stream state, which AQE cannot coalesce later."""
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))

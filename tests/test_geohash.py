@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.encoding import base16_bits, base32_bits
 from tallyloom.functions.geo import haversine_km, nearest_place
-from tallyloom.functions.geohash import geohash_bits, in_cell
-from tallyloom.operators.geosearch import cell_of, nearest_points, points_in_cell
+from tallyloom.functions.geohash import box_intervals, geohash_bits, in_cell, in_intervals
+from tallyloom.operators.geosearch import cell_of, nearest_points, points_in_box, points_in_cell
 from tallyloom.sources.tables import PLACES
 from tests.conftest import rows_of
 
@@ -82,6 +82,58 @@ def test_random_points(spark, ranges):
             assert (b16, b32) == (raw.hex().upper(), base64.b32encode(raw).decode())
 
 
+@pytest.mark.parametrize("size", [3, 63, 64, 130])
+def test_many_dimensions_need_no_python(spark, size):
+    draw = random.Random(size)
+    points = [[draw.uniform(-1.2, 1.2) for _ in range(size)] for _ in range(20)]
+    frame = spark.createDataFrame([(p,) for p in points], "v array<double>")
+    for ranges in ([(-1.0, 1.0)] * size, [(-1.0, 1.0 / 3)] * size):
+        hashed = frame.select("v", geohash_bits(ranges, 3, F.col("v")).alias("bits"))
+        assert "Python" not in hashed._jdf.queryExecution().executedPlan().toString()
+        assert all(got == woven(ranges, 3, value) for value, got in hashed.collect())
+
+
+@pytest.mark.parametrize("limit", [1, 7, 64, 10_000])
+def test_intervals_hold_the_box(limit):
+    draw = random.Random(limit)
+    ranges, digits = [(-1.0, 1.0), (0.1, 7.7), (0, 8)], 4
+    every = [f"{n:012b}" for n in range(1 << 12)]
+    for _ in range(15):
+        corners = [sorted(draw.uniform(lo - 1, hi + 1) for _ in range(2)) for lo, hi in ranges]
+        low, high = [c[0] for c in corners], [c[1] for c in corners]
+        intervals = box_intervals(ranges, digits, low, high, limit)
+        assert 1 <= len(intervals) <= limit
+        held = {bits for bits in every if any(a <= bits < b for a, b in intervals)}
+        first, last = ([cell_of_one(x, float(r[0]), float(r[1]), digits) for x, r in zip(c, ranges)] for c in (low, high))
+        cells = [[int(bits[d::3], 2) for d in range(3)] for bits in every]
+        box = {b for b, own in zip(every, cells) if all(x <= c <= y for x, c, y in zip(first, own, last))}
+        assert box <= held and (limit < 10_000 or box == held)
+        assert all(a[1] < b[0] for a, b in zip(intervals, intervals[1:]))
+
+
+def test_box_and_nearest_read_few_row_groups(spark, tmp_path):
+    draw = random.Random(9)
+    points = [(i, draw.uniform(-180, 180), draw.uniform(-90, 90)) for i in range(4000)]
+    frame = spark.createDataFrame(points, "id int, x double, y double")
+    hashed = frame.withColumn("bits", geohash_bits(WORLD, 12, [F.col("x"), F.col("y")]))
+    folder = str(tmp_path / "points")
+    hashed.repartitionByRange(40, "bits").sortWithinPartitions("bits").write.parquet(folder)
+    stored, at = spark.read.parquet(folder), [F.col("x"), F.col("y")]
+    low, high = (-80.0, 35.0), (-60.0, 47.5)
+    found = points_in_box(stored, "bits", at, WORLD, 12, low, high)
+    want = {p[0] for p in points if all(a <= x <= b for a, x, b in zip(low, p[1:], high))}
+    assert {r["id"] for r in found.collect()} == want and len(want) > 5
+    assert "And(GreaterThanOrEqu" in found._jdf.queryExecution().executedPlan().toString()
+    intervals = box_intervals(WORLD, 12, low, high)
+    read = stored.where(in_intervals(F.col("bits"), intervals)).select(F.input_file_name()).distinct().count()
+    assert read < 12
+    for target in (POINT, (0.0, 0.0), (180.0, 90.0), (-400.0, 3.0)):
+        best = nearest_points(stored, "bits", at, WORLD, 12, target, 7, [F.col("id")])
+        distance = lambda p: ((p[1] - target[0]) ** 2 + (p[2] - target[1]) ** 2, p[0])  # noqa: E731, B023
+        assert [r["id"] for r in best.orderBy("rank").collect()] == [p[0] for p in sorted(points, key=distance)[:7]]
+    assert nearest_points(stored, "bits", at, WORLD, 12, POINT, 5000, [F.col("id")]).count() == 4000
+
+
 def test_preconditions(spark):
     with pytest.raises(ValueError):
         geohash_bits([(1, 1)], 3, [F.lit(0.0)])
@@ -108,9 +160,8 @@ def test_prefix_search_and_nearest(spark):
     found = points_in_cell(hashed, "bits", prefix)
     inside = [p for p in points if woven(WORLD, 1, p[1:]) == prefix]
     assert {r["id"] for r in found.collect()} == {p[0] for p in inside}
-    best = nearest_points(
-        hashed, "bits", prefix, [F.col("x"), F.col("y")], POINT, 4, [F.col("id")]
-    )
+    at = [F.col("x"), F.col("y")]
+    best = nearest_points(hashed, "bits", at, WORLD, 6, POINT, 4, [F.col("id")])
     distance = lambda p: (p[1] - POINT[0]) ** 2 + (p[2] - POINT[1]) ** 2
     want = sorted(points, key=distance)[:4]
     assert [r["id"] for r in best.orderBy("rank").collect()] == [p[0] for p in want]
