@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import char_set, shared_chars
+from tallyloom.operators import neighbours
 from tallyloom.operators.neighbours import similar_neighbours
 from tallyloom.operators.topk import top_k_per_group, top_k_wide_rows
 from tests.conftest import rows_of
@@ -67,16 +68,30 @@ def test_hot_key_blocks_are_not_built_by_one_task(spark):
         others = spark.createDataFrame([(1, "a", 1)], OTHERS)
         frame = similar_neighbours(people, others, "age", "name", "id")
         plan = frame._jdf.queryExecution().executedPlan().toString()
-        for block in ("_left", "_right"):
-            assert any(
-                "REPARTITION_BY_COL" in line and "age#" in line and block in line
-                for line in plan.splitlines()
-            )
+        lines = [line for line in plan.splitlines() if "REPARTITION_BY_COL" in line]
+        assert sum("age#" in line and "_part" in line for line in lines) >= 2
         assert "Cartesian" not in plan and "NestedLoop" not in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_blocks_that_cannot_beat_the_kth_score_do_not_meet(spark, monkeypatch):
+    draw = random.Random(8)
+    name = lambda: "".join(draw.sample("abcdefghijkl", draw.choice([2, 3, 3, 4, 4, 5, 11, 12])))
+    people, others = list({(name(), 1) for _ in range(150)}), [(i, name(), 1) for i in range(200)]
+    counts, pairs = [], neighbours._open_pairs
+
+    def counted(left, right, seeds, on):
+        found = pairs(left, right, seeds, on)
+        counts.append((found.count(), left.count() * right.count()))
+        return found
+
+    monkeypatch.setattr(neighbours, "_open_pairs", counted)
+    assert found(spark, people, others, 2, block_rows=4) == brute(people, others, 2)
+    (met, every), = counts
+    assert 0 < met < 0.7 * every
+
+
 @pytest.mark.parametrize("age", [99, None])
 def test_missing_neighbours_are_an_error(spark, age):
     with pytest.raises(Exception, match="no neighbours for age 99|person without age"):
