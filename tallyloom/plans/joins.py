@@ -17,8 +17,11 @@ def q_binned_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_bin_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sizes = bin_sizes(table(spark, sf_dir, "customer"), "c_custkey", 7)
-    return sizes.agg(F.sum("n_rows").alias("n_rows"), F.max("bin").alias("last_bin"))
+    """Rows and bytes of seven bins by the MD5 of the key."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    digest = F.substring(F.md5(F.col("c_custkey").cast("string")), 1, 7)
+    number = (F.conv(digest, 16, 10).cast("bigint") % 7).cast("int")
+    return bin_sizes(rows, "c_custkey", 7, number)
 
 
 def q_triangular_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +71,11 @@ ORACLES = {
         SELECT o_custkey AS custkey, o_orderkey, c_name
         FROM orders JOIN customer ON o_custkey = c_custkey
     """,
-    "bin_rows": "SELECT count(*) AS n_rows, CAST(6 AS INTEGER) AS last_bin FROM customer",
+    "bin_rows": """
+        SELECT CAST(('0x' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 7))::BIGINT % 7 AS INTEGER) AS bin,
+            count(*) AS n_rows, CAST(sum(48 + strlen(c_name) + strlen(c_mktsegment)) AS BIGINT) AS n_bytes
+        FROM customer GROUP BY 1
+    """,
     "triangular_pairs": """
         SELECT p_partkey, p_size AS i, CAST(unnest(range(1, p_size + 1)) AS INTEGER) AS j FROM part
     """,
