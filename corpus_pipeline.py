@@ -18,12 +18,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents predicted toxic go."""
+    """Documents predicted toxic go.
+
+    Null and empty texts stay, as nothing speaks against them; very long texts are read
+    whole; repeated rows and rows without an id are judged by their texts. Other columns may
+    have any names. No documents give none.
+    """
     return without_toxic(docs, _table(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines of a source go from its texts; documents stay."""
+    """Boilerplate lines of a source go from its texts; documents stay.
+
+    A null text stays null; one of nothing but boilerplate becomes empty. A null source is
+    one of its own. Repeated rows are pages of their own. Other columns may have any names.
+    No documents give none.
+    """
     require_conf(spark)
     kept = without_boilerplate(docs)
     changed = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
@@ -31,18 +41,33 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the least id stays."""
+    """Of each group of near-duplicates the document with the least id stays.
+
+    Null texts and texts without words are one group. Of rows that repeat the id that stays,
+    one stays; rows without an id all stay. Very long texts are compared whole. Other columns
+    may have any names. No documents give none.
+    """
     require_conf(spark)
     return one_per_group(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that cover a benchmark item go."""
+    """Documents that cover a benchmark item go.
+
+    Null and empty texts cover nothing and stay; very long texts are read whole; repeated
+    rows and rows without an id are judged by their texts. Other columns may have any names.
+    No documents, or no benchmark, drop none.
+    """
     return without_contaminated(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document that is left, in pieces placed in sequences."""
+    """Every document that is left, in pieces placed in sequences.
+
+    Null and empty texts have an end mark only; long documents are cut to pieces; repeated
+    rows and rows without an id are packed each on its own. Other columns are not returned.
+    No documents give no rows.
+    """
     require_conf(spark)
     return packed(with_lengths(docs))
 
