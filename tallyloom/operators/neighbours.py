@@ -70,7 +70,10 @@ def similar_neighbours(
     missing = F.raise_error(F.concat(F.lit(f"no neighbours for {on} "), F.col(on).cast("string")))
     open_sets = wanted.withColumn("_least", F.lit(-1))
     left = _blocks(open_sets, on, block_rows, ["_set", "_least"])
-    first = left.join(seeds, on, "left").withColumn("_part2", F.coalesce("_part2", missing.cast("int")))
+    # An exploded column, as a condition on a plain one would drop the rows before the complaint.
+    seed = F.coalesce(F.col("_seed"), missing.cast("struct<_size2:int,_part2:int>"))
+    first = left.join(seeds.select(on, F.struct("_size2", "_part2").alias("_seed")), on, "left")
+    first = first.withColumn("_seed", F.explode(F.array(seed))).select(on, "_rows", "_seed.*")
     # Blocks of candidates grow with the data, so they are never broadcast.
     first = first.join(right.hint("merge"), [on, "_size2", "_part2"])
     first = first.select(on, "_rows", "_others").mapInPandas(_block_scorer(on, k), scored_type)

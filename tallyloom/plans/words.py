@@ -64,6 +64,8 @@ def q_mr_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
         _total,
         _total,
         mapped_schema="event_type string, total_cents bigint",
+        # The scan may be one part; mappers get random parts of it.
+        num_mappers=spark.sparkContext.defaultParallelism,
     )
 
 
