@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.operators.pivot import axis_labels, cell_pivot
-from tallyloom.session import stored_table
+from tallyloom.session import scratch_dir, stored_table
 from tallyloom.sources import cells
 from tallyloom.sources.tables import EVENT_TYPES, customer_cells, event_cells, table
 
