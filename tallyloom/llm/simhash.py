@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from tallyloom.llm.components import components
-from tallyloom.llm.text_tasks import ascii_words, mixed
+from tallyloom.llm.text_tasks import mixed
 from tallyloom.session import stored
 
 BITS = 64
@@ -40,7 +40,8 @@ _LANES = np.uint64(0x0101010101010101)
 
 def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
     """XXH64 of each run of ``shingle`` words; fewer words are one run, none have none."""
-    words = ascii_words(text.translate(_LOWER) if text else text)
+    # In UTF-8 only letters A to Z have bytes that ``lower`` changes.
+    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not words:
         return np.empty(0, np.uint64)
     joined = b" ".join(words)
@@ -60,9 +61,6 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return majority(hashes) if len(hashes) else 0
 
 
-_LOWER = {c: c + 32 for c in range(65, 91)}
-
-
 def majority(hashes: np.ndarray) -> int:
     """Each bit that is set in over half of the hashes."""
     counts = np.zeros(BITS, np.int64)
