@@ -8,6 +8,7 @@ from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
+from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
@@ -20,6 +21,7 @@ from tests.llm import (
     test_line_dedup,
     test_packing,
     test_simhash,
+    test_token_alignment,
     test_token_files,
 )
 
@@ -106,6 +108,14 @@ def test_token_query_equals_the_tokenizer(spark, sf_dir):
     assert sorted((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in got) == want
 
 
+def test_alignment_query_equals_brute_force(spark, sf_dir):
+    tokenizer = Tokenizer.from_file(test_token_alignment.PATHS[0])
+    tokenizer.encode_special_tokens = True
+    pieces = SentencePieceProcessor(model_file=test_token_alignment.PATHS[1])
+    want = test_token_alignment.brute(_documents(spark, sf_dir), (tokenizer, pieces))
+    assert test_token_alignment.found(queries.QUERIES["op12_token_alignment"](spark, sf_dir)) == want
+
+
 def test_pipeline_equals_plain_python(spark, sf_dir):
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
