@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.components import components
 from tallyloom.llm.simhash import alike_links
-from tallyloom.llm.text_tasks import ascii_words, mixed, rolling_hashes, word_codes
+from tallyloom.llm.text_tasks import mixed, rolling_hashes, word_codes
 from tallyloom.session import stored
 
 SHINGLE = 5
@@ -43,10 +43,13 @@ CHUNK_LEAST = 3
 SHARD_MEMBERS = 2048
 SET_SHINGLES = 1 << 21
 DEALS = 3
+# Bits of the map of shared shingles; with many more of those it stops to filter, no more.
+FILTER_BITS = 1 << 27
+# Fixed value: bits in one value of ``bitmap_construct_agg``.
+_PAGE_BITS = 32_768
 # Children of a tree's node, and pairs of nodes that are looked at together.
 CHILDREN = 8
 PAIRS = 256
-_LOWER = {c: c + 32 for c in range(65, 91)}
 _SHORT = 0xA0761D6478BD642F
 SKETCH = "doc_id long, tie long, key binary, size long, prefix array<long>, signature binary"
 
@@ -56,12 +59,14 @@ def shingles_of(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
 
     Letters A to Z count as small ones. Without words there is none.
     """
-    words = ascii_words(text.translate(_LOWER) if text else text)
+    # In UTF-8 only letters A to Z have bytes that ``lower`` changes.
+    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not words:
         return np.empty(0, np.uint64)
     codes = word_codes(words)
     if len(codes) >= shingle:
-        return np.unique(mixed(rolling_hashes(codes, shingle)))
+        own = np.sort(mixed(rolling_hashes(codes, shingle)))
+        return own[np.concatenate([[True], own[1:] != own[:-1]])]
     # A short run never equals a run of full length.
     return mixed(rolling_hashes(codes, len(codes)) + np.uint64(_SHORT * len(codes) % (1 << 64)))
 
@@ -404,11 +409,46 @@ def shard_links(
     return links.unionByName(linked(cells))
 
 
-def prefix_shards(sets: DataFrame) -> DataFrame:
-    """(shard, num): sets that share a shingle of their prefixes, once per list of members."""
+def _bits_of(shards: DataFrame, size: int) -> np.ndarray:
+    """A bitmap of ``size`` bits with the bit of each shard's number modulo ``size``."""
+    bit = F.pmod("shard", F.lit(size))
+    place = F.pmod(bit, F.lit(_PAGE_BITS))
+    pages = shards.groupBy(F.floor(bit / _PAGE_BITS).alias("page")).agg(F.bitmap_construct_agg(place).alias("bits"))
+    out = np.zeros((-(-size // _PAGE_BITS), _PAGE_BITS // 8), np.uint8)
+    # At most one page for each 32,768 bits.
+    for row in pages.toLocalIterator():
+        out[row["page"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.reshape(-1)
+
+
+def _prefix_rows(shared, size: int):
+    def run(batches):
+        bits = shared.value
+        for batch in batches:
+            prefix = batch["prefix"]
+            counts = np.diff(prefix.offsets.to_numpy())
+            shards = prefix.flatten().to_numpy()
+            bit = np.mod(shards, size)
+            held = bits[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 == 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shards[held]), pa.array(np.repeat(batch["num"].to_numpy(), counts)[held])],
+                ["shard", "num"],
+            )
+
+    return run
+
+
+def prefix_shards(sets: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
+    """(shard, num): sets that share a shingle of their prefixes, once per list of members.
+
+    Few shingles are shared. A bitmap of bounded size, which all tasks get, keeps most of the
+    others from being sent; it lets all shared ones through and is not relied on.
+    """
     rows = sets.select("num", F.explode("prefix").alias("shard"))
-    shared = rows.groupBy("shard").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    held = stored(rows.join(shared, "shard"), "shared-shingles")
+    shared = stored(rows.groupBy("shard").agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "shared-shingles")
+    bits = sets.sparkSession.sparkContext.broadcast(_bits_of(shared, filter_bits))
+    likely = sets.select("num", "prefix").mapInArrow(_prefix_rows(bits, filter_bits), "shard long, num long")
+    held = stored(likely.join(shared, "shard"), "shared-shingles")
     lists = held.groupBy("shard").agg(
         F.count("*").alias("n"),
         *[F.bit_xor(F.xxhash64("num", F.lit(salt))).alias(f"sum{salt}") for salt in (1, 2)],

@@ -61,6 +61,7 @@ def test_components_equal_brute_force(make, rows):
 @pytest.mark.parametrize(("frequent", "members", "shingles"), [(0, 2, 2048), (50, 3, 1), (1 << 18, 2048, 700)])
 def test_crowded_shards_lose_no_link(make, rows, monkeypatch, frequent, members, shingles):
     monkeypatch.setattr(op, "CHUNK_LEAST", 2)
+    monkeypatch.setattr(op.prefix_shards, "__defaults__", (64 * members,))
     assert found(make(rows), frequent=frequent, members=members, shingles=shingles) == brute(rows)
 
 
