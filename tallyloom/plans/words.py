@@ -24,6 +24,7 @@ from tallyloom.sources.cells import counter_cells
 from tallyloom.sources.tables import table, texts
 from tallyloom.streaming.sinks import append_sink, run_available
 from tallyloom.streaming.sources import table_stream
+from tallyloom.streaming.windows import sliding_totals
 
 KEYWORDS = ["The", "Que", "Der", "Les", "And"]
 LANGS = ["de", "en", "es", "fr"]
@@ -148,6 +149,22 @@ def q_sliding_mentions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return closed.select(F.col("win_start").cast("timestamp_ntz").alias("win_start"), "event_type", "n")
 
 
+def q_sliding_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same windows from pane totals in state; a tick a day on ends them all."""
+    base = scratch_dir(spark, "sliding-totals")
+    events = table(spark, sf_dir, "events").select("ts", "event_type")
+    last = events.agg((F.max("ts") + F.make_dt_interval(days=F.lit(1))).cast("timestamp").alias("at"))
+    last.write.parquet(f"{base}/ticks")
+    rows = table_stream(spark, sf_dir, "events.parquet", events.schema)
+    clock = table_stream(spark, f"{base}/ticks", "*.parquet", last.schema)
+    stamped = rows.withColumn("ts", F.col("ts").cast("timestamp"))
+    totals = sliding_totals(stamped, "ts", ["event_type"], clock=clock)
+    run_available(totals, append_sink(f"{base}/ended"), f"{base}/checkpoint")
+    return read_batches(spark, f"{base}/ended").select(
+        F.col("win_start").cast("timestamp_ntz").alias("win_start"), "event_type", "n"
+    )
+
+
 QUERIES = {
     "mention_counts": q_mention_counts,
     "mention_chart": q_mention_chart,
@@ -161,6 +178,7 @@ QUERIES = {
     "mr_grouped": q_mr_grouped,
     "sliding_mentions": q_sliding_mentions,
     "sliding_mentions_stream": q_sliding_mentions_stream,
+    "sliding_totals_stream": q_sliding_totals_stream,
 }
 
 _MENTIONS = """
@@ -221,4 +239,5 @@ ORACLES = {
     """,
     "sliding_mentions": _SLIDING,
     "sliding_mentions_stream": _SLIDING,
+    "sliding_totals_stream": _SLIDING,
 }
