@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.operators.commits import BatchLog
 from tallyloom.operators.mentions import track_posts
 from tallyloom.operators.merge import CountingUpsert, read_batches, split_valid
 from tallyloom.operators.posts import (
@@ -17,8 +18,9 @@ from tallyloom.operators.posts import (
     short_post,
     trend_names,
 )
+from tallyloom.operators.toplists import TopLists
 from tallyloom.session import scratch_dir
-from tallyloom.sources.tables import posts, table
+from tallyloom.sources.tables import as_posts, posts, table
 from tallyloom.streaming.sinks import append_sink, counting_sink, run_available
 from tallyloom.streaming.sources import table_stream
 from tallyloom.streaming.topics import place_posts_stream
@@ -118,16 +120,18 @@ def q_place_topic_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_place_posts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "place-posts")
     doc = table(spark, sf_dir, "documents")
+    lists = TopLists(f"{base}/lists", "topic_name", "favorite_count", ["doc_id"], 3, key=["doc_id"])
+    written = table_stream(spark, sf_dir, "documents.parquet", doc.schema)
+    arrived = as_posts(written).withColumn("topic_name", F.col("lang")).drop("place")
+    run_available(arrived, lists.write, f"{base}/lists-checkpoint")
     stream = table_stream(spark, sf_dir, "documents.parquet", doc.select("source").schema)
-    slim = _topic_posts(spark, sf_dir).drop("place")
     enriched = place_posts_stream(
         places=stream.select(F.col("source").alias("place")),
         trends=_place_trends(spark, sf_dir),
-        posts=slim,
+        posts=lists.read,
         topic="topic_name",
         tie_break=["doc_id"],
         count=3,
-        key=["doc_id"],
     )
     store = CountingUpsert(f"{base}/table", ["author_screen_name", "created_at"], ["place", "topic_name"])
     run_available(enriched.stream, enriched.into(counting_sink(store)), f"{base}/checkpoint")
@@ -150,9 +154,10 @@ def q_place_rejects_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         count=3,
         key=["doc_id"],
     )
-    sink = flow.into(append_sink(f"{base}/posts"), f"{base}/rejects")
+    log = BatchLog(f"{base}/log")
+    sink = flow.into_tables(log, f"{base}/posts", f"{base}/rejects")
     run_available(flow.stream, sink, f"{base}/checkpoint")
-    return read_batches(spark, f"{base}/rejects").select("place", "topic_name")
+    return log.read(spark, f"{base}/rejects").select("place", "topic_name")
 
 
 def q_trend_picks(spark: SparkSession, sf_dir: str) -> DataFrame:

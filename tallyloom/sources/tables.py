@@ -34,8 +34,11 @@ def cents(amount: str) -> Column:
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_posts(table(spark, sf_dir, "documents"))
+
+
+def as_posts(doc: DataFrame) -> DataFrame:
     """Documents as nested posts; ``doc_id`` is kept as the arrival number."""
-    doc = table(spark, sf_dir, "documents")
     # A hashtag is any word of the whole text that begins with a capital letter.
     words = F.filter(F.split("text", " "), lambda word: word.rlike("^[A-Z]"))
     return doc.select(

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.operators.commits import BatchLog
 from tallyloom.operators.merge import write_batch
 from tallyloom.operators.posts import (
     POSTS_PER_TOPIC,
@@ -22,16 +23,23 @@ from tallyloom.streaming.sinks import BatchSink
 
 @dataclass(frozen=True)
 class PlacePosts:
-    """A stream of places and the lookups that each micro-batch of it is joined to."""
+    """A stream of places and the lookups that each micro-batch of it is joined to.
+
+    ``posts`` may be a function of the session, called anew for each micro-batch: with
+    ``TopLists.read`` a micro-batch reads the lists of its topics instead of all posts.
+    """
 
     stream: DataFrame
     trends: DataFrame
-    posts: DataFrame
+    posts: DataFrame | Callable[[SparkSession], DataFrame]
     topic: str
     tie_break: Sequence[str]
     count: int
     key: Sequence[str]
 
+    def _posts(self, spark: SparkSession) -> DataFrame:
+        return self.posts(spark).drop("rank") if callable(self.posts) else self.posts
+
     def rows(self, places: DataFrame) -> DataFrame:
         """Flat post rows of the places of one micro-batch, each place taken once.
 
@@ -40,7 +48,7 @@ class PlacePosts:
         found = posts_of_places(
             places.select("place").distinct(),
             self.trends,
-            self.posts,
+            self._posts(places.sparkSession),
             self.topic,
             tie_break=[F.col(name) for name in self.tie_break],
             count=self.count,
@@ -54,7 +62,7 @@ class PlacePosts:
     def rejected(self, places: DataFrame) -> DataFrame:
         """The places, and topics of places, of one micro-batch that have no posts."""
         once = places.select("place").distinct()
-        return unmatched_places(once, self.trends, self.posts, self.topic)
+        return unmatched_places(once, self.trends, self._posts(places.sparkSession), self.topic)
 
     def into(self, sink: BatchSink, rejects: str | None = None) -> BatchSink:
         """Hand rows to ``sink`` and what is rejected to the table in ``rejects``."""
@@ -66,11 +74,20 @@ class PlacePosts:
 
         return both
 
+    def into_tables(self, log: BatchLog, posts: str, rejects: str) -> BatchSink:
+        """Keep rows and what is rejected in two tables that show a batch at the same time."""
+
+        def both(places: DataFrame, batch_id: int) -> None:
+            tables = {posts: self.rows(places), rejects: self.rejected(places)}
+            log.commit(places.sparkSession, batch_id, tables)
+
+        return both
+
 
 def place_posts_stream(
     places: DataFrame,
     trends: DataFrame,
-    posts: DataFrame,
+    posts: DataFrame | Callable[[SparkSession], DataFrame],
     topic: str,
     tie_break: Sequence[str],
     count: int = POSTS_PER_TOPIC,
@@ -78,7 +95,8 @@ def place_posts_stream(
 ) -> PlacePosts:
     """``places`` is a stream with a column ``place``; ``trends`` has place and topic.
 
-    ``posts`` are nested posts with the topic column and without ``place``; ``key``
+    ``posts`` are nested posts with the topic column and without ``place``, or a function
+    that gives them (lists of at least ``count`` posts per topic will do); ``key``
     tells them apart, so that texts are only read for the posts chosen.
     """
     return PlacePosts(places, trends, posts, topic, tie_break, count, key)
