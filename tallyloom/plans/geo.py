@@ -9,6 +9,7 @@ from tallyloom.functions.encoding import base16_bits, base32_bits
 from tallyloom.functions.geo import nearest_place
 from tallyloom.functions.geohash import geohash_bits
 from tallyloom.operators.geosearch import cell_of, nearest_points, points_in_box, points_in_cell
+from tallyloom.operators.nearest import nearest_location
 from tallyloom.session import stored_table
 from tallyloom.sources.files import places_rows
 from tallyloom.sources.tables import PLACES, VECTOR_SIZE, customer_points, table, vectors
@@ -113,6 +114,17 @@ def q_nearest_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customer_points(spark, sf_dir).select("c_custkey", place)
 
 
+def q_nearest_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The closest supplier of each customer; suppliers are spread over the customers' area."""
+    key = F.col("s_suppkey")
+    sites = table(spark, sf_dir, "supplier").select(
+        "s_suppkey",
+        (F.lit(36.0) + key * 7919 % 7993 / 1000.0).alias("lat"),
+        (F.lit(-9.0) + key * 104729 % 11987 / 1000.0).alias("long"),
+    )
+    return nearest_location(customer_points(spark, sf_dir), sites, "s_suppkey").select("c_custkey", "s_suppkey")
+
+
 def q_place_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = F.struct("lat", "long")
     configs = customer_points(spark, sf_dir).select(
@@ -132,6 +144,7 @@ QUERIES = {
     "geohash_cells": q_geohash_cells,
     "geohash_checked": q_geohash_checked,
     "nearest_place": q_nearest_place,
+    "nearest_supplier": q_nearest_supplier,
     "place_rows": q_place_rows,
 }
 
@@ -222,6 +235,18 @@ ORACLES = {
                  p(name, lat, long))
         GROUP BY c_custkey
     """,
+    "nearest_supplier": f"""
+        SELECT c_custkey, arg_min(s_suppkey, km) AS s_suppkey FROM (
+            SELECT c_custkey, s_suppkey,
+                   asin(sqrt(pow(sin(radians(s.lat - c.lat) / 2), 2)
+                        + cos(radians(c.lat)) * cos(radians(s.lat))
+                          * pow(sin(radians(s.long - c.long) / 2), 2))) AS km
+            FROM (SELECT c_custkey, {_POINT[0]} AS lat, {_POINT[1]} AS long FROM customer) c,
+                 (SELECT s_suppkey, 36.0::DOUBLE + (s_suppkey * 7919 % 7993)::DOUBLE / 1000.0::DOUBLE AS lat,
+                         -9.0::DOUBLE + (s_suppkey * 104729 % 11987)::DOUBLE / 1000.0::DOUBLE AS long
+                  FROM supplier) s)
+        GROUP BY c_custkey
+    """,
     "place_rows": f"""
         SELECT c_name AS place, {_POINT[0]} AS lat, {_POINT[1]} AS long FROM customer
     """,

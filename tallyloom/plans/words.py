@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import blank_tokens, space_tokens
+from tallyloom.operators.keywords import table_mentions
 from tallyloom.operators.mapreduce import (
     grouped_lists,
     key_sorted_lists,
@@ -35,6 +36,17 @@ def q_mention_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mention_counts(table(spark, sf_dir, "documents"), KEYWORDS)
 
 
+def q_table_mention_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts per language that mention a word of the benchmark's items."""
+    words = _words_of(table(spark, sf_dir, "benchmark"))
+    found = table_mentions(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id", words)
+    return found.groupBy("word", "lang").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _words_of(items: DataFrame) -> DataFrame:
+    return items.select(F.explode(F.split("text", " ")).alias("word"))
+
+
 def q_mention_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = mention_counts(table(spark, sf_dir, "documents"), KEYWORDS)
     return cell_pivot(counter_cells(counts, "word", "lang", "n"), LANGS, family="mentions")
@@ -167,6 +179,7 @@ def q_sliding_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "mention_counts": q_mention_counts,
+    "table_mention_counts": q_table_mention_counts,
     "mention_chart": q_mention_chart,
     "word_count": q_word_count,
     "word_count_ws": q_word_count_ws,
@@ -204,6 +217,14 @@ _SLIDING = """
 
 ORACLES = {
     "mention_counts": _MENTIONS,
+    "table_mention_counts": """
+        SELECT w.word AS word, d.lang AS lang, count(*) AS n
+        FROM documents d
+        JOIN (SELECT DISTINCT word FROM (SELECT unnest(string_split(text, ' ')) AS word FROM benchmark)
+              WHERE word <> '') w
+          ON contains(d.text, w.word) OR contains(d.text, lower(w.word))
+        GROUP BY w.word, d.lang
+    """,
     "mention_chart": f"""
         SELECT word AS row_key,
                CAST(max(n) FILTER (WHERE lang = 'de') AS DOUBLE) AS de,
