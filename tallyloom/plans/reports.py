@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.times import to_day
 from tallyloom.operators.cube import CubeSpec, olap_cube, olap_rollup, olap_slice, with_day
+from tallyloom.operators.cuboids import CuboidStore
 from tallyloom.operators.merge import last_by_key, upsert_by_key, write_key_ranges
 from tallyloom.operators.posts import favs_by
-from tallyloom.session import scratch_dir
+from tallyloom.session import scratch_dir, stored_table
 from tallyloom.sources.tables import table, usage_facts
 
 USAGE = CubeSpec(
@@ -64,6 +65,23 @@ def q_olap_member(spark: SparkSession, sf_dir: str) -> DataFrame:
     return olap_slice(facts, USAGE, axes=["host"], where={"feature": "1-URGENT"})
 
 
+def _cuboids(spark: SparkSession, sf_dir: str) -> CuboidStore:
+    """Cuboids of the usage facts, built once for each state of the tables."""
+
+    def build(path: str) -> None:
+        CuboidStore(path, USAGE).build(_daily_facts(spark, sf_dir))
+
+    return CuboidStore(stored_table(spark, "cuboids", sf_dir, build), USAGE)
+
+
+def q_olap_stored_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cuboids(spark, sf_dir).slice(spark, axes=["host", "feature"])
+
+
+def q_olap_stored_member(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cuboids(spark, sf_dir).slice(spark, axes=["host"], where={"feature": "1-URGENT"})
+
+
 def q_etl_day_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = _daily_facts(spark, sf_dir)
     return last_by_key(facts, USAGE_KEY, USAGE_VERSION).select(*USAGE_COLUMNS)
@@ -102,6 +120,8 @@ QUERIES = {
     "olap_rollup": q_olap_rollup,
     "olap_slice": q_olap_slice,
     "olap_member": q_olap_member,
+    "olap_stored_slice": q_olap_stored_slice,
+    "olap_stored_member": q_olap_stored_member,
     "etl_day_upsert": q_etl_day_upsert,
     "key_upsert": q_key_upsert,
     "events_by_day": q_events_by_day,
@@ -195,3 +215,6 @@ ORACLES = {
         FROM (SELECT l_returnflag || l_linestatus AS k FROM lineitem) GROUP BY 1
     """,
 }
+
+ORACLES["olap_stored_slice"] = ORACLES["olap_slice"]
+ORACLES["olap_stored_member"] = ORACLES["olap_member"]
