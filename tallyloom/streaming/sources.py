@@ -56,11 +56,15 @@ def table_stream(
     schema: T.StructType | str,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """A folder of parquet files as a stream; ``file_name`` is a name or a glob."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_name)
+    """The tables of a folder as a stream; ``file_name`` is the name of one or a glob.
+
+    A table is a parquet file or a folder of them. The braces make a plain name a glob too,
+    as Spark streams a path that is no glob only if it is a folder.
+    """
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(folder)
+    return reader.parquet(f"{folder}/{{{file_name}}}")
 
 
 def json_posts(spark: SparkSession, folder: str, schema: str, max_files_per_trigger: int | None = None) -> DataFrame:
