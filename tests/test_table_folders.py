@@ -27,3 +27,7 @@ def equal_on_folders(spark, sf_dir, folders, name):
 
 def test_posts_of_a_folder(spark, sf_dir, folders):
     assert equal_on_folders(spark, sf_dir, folders, "place_posts_stream")
+
+
+def test_rejects_of_a_folder(spark, sf_dir, folders):
+    assert equal_on_folders(spark, sf_dir, folders, "place_rejects_stream")
