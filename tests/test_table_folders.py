@@ -31,3 +31,12 @@ def test_posts_of_a_folder(spark, sf_dir, folders):
 
 def test_rejects_of_a_folder(spark, sf_dir, folders):
     assert equal_on_folders(spark, sf_dir, folders, "place_rejects_stream")
+
+
+def test_tracked_posts_of_a_folder(spark, sf_dir, folders):
+    assert equal_on_folders(spark, sf_dir, folders, "tracked_stream")
+
+
+@pytest.mark.parametrize("name", ["sliding_mentions_stream", "sliding_totals_stream", "idempotent_insert_stream"])
+def test_events_of_a_folder(spark, sf_dir, folders, name):
+    assert equal_on_folders(spark, sf_dir, folders, name)
