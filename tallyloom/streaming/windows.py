@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -12,6 +13,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 STATE = "total bigint, panes array<bigint>, sums array<bigint>, ended bigint"
+# Windows of a key that one state ends, at least.
+STRETCH = 8192
 
 
 def sliding_totals(
@@ -31,6 +34,10 @@ def sliding_totals(
     is the one before plus the pane that enters minus the pane that leaves, whatever the
     window's length, and a key without panes has no state.
 
+    A state ends the windows of one stretch of time, so that a backlog of one key, of any
+    length, is many states of bounded size that many tasks share. Panes whose windows
+    start in two stretches go to both.
+
     A window is appended once, when a row has arrived after its end; keys that get no rows
     any more are woken by timers. ``clock``, a stream with a TIMESTAMP ``at`` such as
     ``ticks`` gives, moves the time on where no rows come at all.
@@ -64,13 +71,16 @@ def sliding_totals(
             )
         )
     summed = slim.mapInArrow(_pane_sums([*names, "_clock", "_pane"]), slim.schema)
+    stretch = max(STRETCH, 4 * overlap)
+    starts = [F.floor((F.col("_pane") - back) / stretch) for back in (overlap - 1, 0)]
+    summed = summed.withColumn("_stretch", F.explode(F.array_distinct(F.array(*starts))))
     # The watermark is the start of the latest pane: all windows up to there have ended.
     timed = summed.withColumn("_until", F.timestamp_millis((F.col("_pane") + 1) * slide_ms)).withWatermark(
         "_until", f"{slide_seconds} seconds"
     )
     ended = T.StructType([*key_types, T.StructField("_start", T.LongType()), T.StructField("n", T.LongType())])
-    totals = timed.groupBy(*names, "_clock").applyInPandasWithState(
-        _advance(names, overlap, slide_ms), ended, STATE, "append", GroupStateTimeout.EventTimeTimeout
+    totals = timed.groupBy(*names, "_clock", "_stretch").applyInPandasWithState(
+        _advance(names, overlap, slide_ms, stretch), ended, STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
     return totals.select(
         F.timestamp_millis(F.col("_start") * slide_ms).alias("win_start"),
@@ -89,34 +99,45 @@ def _pane_sums(names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterato
     return sums
 
 
-def _advance(names: list[str], overlap: int, slide_ms: int):
-    """State function of one key: add the new panes, end the windows that are over."""
+def _advance(names: list[str], overlap: int, slide_ms: int, stretch: int):
+    """State function of a key's stretch: add the new panes, end the windows that are over."""
 
     def advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        *values, is_clock = key
+        *values, is_clock, number = key
         if is_clock:
             return
-        total, held, end = 0, {}, None
+        # The window before the stretch's first; it holds panes of the first too.
+        total, held, end = 0, {}, int(number) * stretch + overlap - 1
+        last = end + stretch
         if state.exists:
             total, panes, sums, end = state.get
             held = dict(zip(panes, sums))
         for rows in frames:
             for pane, n in zip(rows["_pane"].tolist(), rows["_sum"].tolist()):
                 held[pane] = held.get(pane, 0) + n
+                if pane < end:
+                    total += n
         now = state.getCurrentWatermarkMs() // slide_ms
+        panes = sorted(held)
+        left, entered, following = 0, bisect_left(panes, end), end + 1
         over = []
-        while held:
-            first = min(held)
+        while left < len(panes):
             # Where the window is empty, go on to the first pane to come.
-            following = end + 1 if end is not None and first < end else first + 1
-            if following > now:
+            following = end + 1 if panes[left] < end else panes[left] + 1
+            if following > min(now, last):
                 break
             end = following
-            total += held.get(end - 1, 0) - held.pop(end - 1 - overlap, 0)
-            if held and min(held) < end:
+            while entered < len(panes) and panes[entered] < end:
+                total += held[panes[entered]]
+                entered += 1
+            while left < entered and panes[left] < end - overlap:
+                total -= held[panes[left]]
+                left += 1
+            if left < entered:
                 over.append((end - overlap, total))
-        if held:
-            state.update((total, list(held), list(held.values()), first if end is None else end))
+        if left < len(panes) and following <= last:
+            kept = panes[left:]
+            state.update((total, kept, [held[pane] for pane in kept], end))
             state.setTimeoutTimestamp(following * slide_ms - 1)
         elif state.exists:
             state.remove()

@@ -2,13 +2,14 @@ from __future__ import annotations
 
 import datetime
 import json
+import random
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.operators.merge import read_batches
-from tallyloom.streaming import sinks
+from tallyloom.streaming import sinks, windows
 from tallyloom.streaming.windows import sliding_totals
 
 START = datetime.datetime(2024, 1, 1, tzinfo=datetime.timezone.utc)
@@ -95,3 +96,19 @@ def test_a_window_is_a_multiple_of_its_slide(spark, tmp_path):
     batch_of(spark, tmp_path / "in", 0, [(5, "a", 1)])
     with pytest.raises(ValueError):
         sliding_totals(stream_of(spark, tmp_path / "in"), "arrived", ["word"], 50, 20)
+
+
+@pytest.mark.parametrize("slide", [10, 60])
+def test_a_backlog_of_one_key_is_many_small_states(spark, tmp_path, monkeypatch, slide):
+    monkeypatch.setattr(windows, "STRETCH", 16)
+    pick = random.Random(slide)
+    backlog = [(pick.randrange(6000) * 2, "a", 1) for _ in range(700)]
+    batches = [backlog, [(11990 + s, "a", 1) for s in range(0, 400, 7)], [(50000, "end", 1)]]
+    for number, rows in enumerate(batches):
+        batch_of(spark, tmp_path / "in", number, rows)
+    totals = sliding_totals(stream_of(spark, tmp_path / "in"), "arrived", ["word"], 60, slide)
+    query = sinks.start(totals, sinks.append_sink(str(tmp_path / "out")), str(tmp_path / "c"), trigger={"availableNow": True})
+    query.awaitTermination()
+    kept = [json.loads(p.json)["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    assert max(kept) > 10 and kept[-1] == 1
+    assert totals_in(spark, tmp_path / "out") == brute(batches, window=60, slide=slide)
