@@ -15,8 +15,8 @@ Bound = Column | Real
 # Up to this many bits per dimension the quotient that finds a cell is off by at
 # most one cell.
 MAX_DIRECT_DIGITS = 50
-# Up to this many dimensions each has expressions of its own, in generated code; more are
-# gone through as an array, so that plans stay small.
+# Up to this many dimensions each has expressions of its own, the cells' in generated code;
+# more are gone through as an array, so that plans stay small.
 OWN_EXPRESSIONS = 8
 
 
@@ -43,7 +43,7 @@ def geohash_bits(
     if exact and len(ranges) <= OWN_EXPRESSIONS:
         edges = [(F.lit(float(low)), F.lit(float(high))) for low, high in ranges]
         cells = [_cell_number(x, *pair, digits) for x, pair in zip(coordinates, edges)]
-        bits = F.concat(*[_digit_bits(cells, digits - 1 - d) for d in range(digits)])
+        bits = _interleaved(cells, digits)
     else:
         bits = _woven(coordinates, [_checked_range(*pair) for pair in ranges], digits, exact)
     known = coordinates[0].isNotNull()
@@ -83,6 +83,17 @@ def _cell_number(x: Column, low: Column, high: Column, digits: int) -> Column:
     return F.when(x < low, 0).when(x >= high, 2**digits - 1).otherwise(exact).cast("bigint")
 
 
+def _interleaved(cells: list[Column], digits: int) -> Column:
+    """Bits of all cell numbers in turn."""
+
+    def in_turn(numbers: Column) -> Column:
+        each = [F.get(numbers, F.lit(dim)) for dim in range(len(cells))]
+        return F.concat(*[_digit_bits(each, digits - 1 - d) for d in range(digits)])
+
+    # An array of one, so that the cell numbers are worked out once, not once per digit.
+    return F.get(F.transform(F.array(F.array(*cells)), in_turn), F.lit(0))
+
+
 def _digit_bits(cells: list[Column], place: int) -> Column:
     """The bit of each cell number at ``place``, one after another as text."""
     code = F.lit(0).cast("bigint")

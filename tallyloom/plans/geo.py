@@ -73,6 +73,8 @@ EARTH_DIGITS = 16
 def _stored_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers' places with geohash bits, as a table in the order of the bits."""
     points = customer_points(spark, sf_dir).select("c_custkey", "lat", "long")
+    # The scan may be one part; hashes are worked out by all cores.
+    points = points.repartition(spark.sparkContext.defaultParallelism, "c_custkey")
     rows = points.withColumn("bits", geohash_bits(EARTH, EARTH_DIGITS, [F.col("lat"), F.col("long")]))
     path = stored_table(spark, "places", f"{sf_dir}/customer.parquet", lambda path: _write_sorted(rows, path))
     return spark.read.schema(rows.schema).parquet(path)

@@ -186,3 +186,11 @@ def test_nearest_place(spark):
     assert km == pytest.approx(20015.1, abs=1)
     with pytest.raises(ValueError):
         nearest_place({}, F.lit(1.0), F.lit(1.0))
+
+
+def test_cells_are_worked_out_once_not_per_digit(spark):
+    at = [F.col("id") * 1.5, F.col("id") * -2.5]
+    bits = geohash_bits([(-90.0, 90.0), (-180.0, 180.0)], 16, at)
+    frames = [spark.range(9).select(hashed) for hashed in (bits, geohash_bits([(-90.0, 90.0), (-180.0, 180.0)], 1, at))]
+    sizes = [f._jdf.queryExecution().optimizedPlan().toString().count("FLOOR(") for f in frames]
+    assert sizes[0] == sizes[1] > 0
