@@ -52,7 +52,7 @@ def as_posts(doc: DataFrame) -> DataFrame:
         "lang",
         (
             F.lit("2014-03-02 00:00:00").cast("timestamp_ntz")
-            + F.make_dt_interval(days=F.col("doc_id").cast("int") % 28)
+            + F.make_dt_interval(days=(F.col("doc_id") % 28).cast("int"))
         ).alias("created_at"),
         "source",
         F.struct(F.concat(F.lit("author"), F.col("doc_id")).alias("screen_name")).alias("author"),
