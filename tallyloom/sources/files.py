@@ -74,6 +74,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(located)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, located = _located(spark, path)
+    return fs.exists(located) and fs.getFileStatus(located).isDirectory()
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     fs, located = _located(spark, path)
     if not fs.exists(located):

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyloom.sources.files import is_folder
+
 
 def starting_offsets(position: str | Mapping[str, Mapping[int, int]] = "latest") -> str:
     """Start position of a log: ``latest``, ``earliest`` or an offset per partition.
@@ -58,13 +60,15 @@ def table_stream(
 ) -> DataFrame:
     """The tables of a folder as a stream; ``file_name`` is the name of one or a glob.
 
-    A table is a parquet file or a folder of them. The braces make a plain name a glob too,
-    as Spark streams a path that is no glob only if it is a folder.
+    A table is a parquet file or a folder of them, which may be partitioned: of a folder that
+    is read by its own path, and not by a glob, Spark finds the partition columns. The braces
+    make a plain name a glob too, as Spark streams a path that is no glob only if it is a folder.
     """
+    path = f"{folder}/{file_name}"
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(f"{folder}/{{{file_name}}}")
+    return reader.parquet(path if is_folder(spark, path) else f"{folder}/{{{file_name}}}")
 
 
 def json_posts(spark: SparkSession, folder: str, schema: str, max_files_per_trigger: int | None = None) -> DataFrame:
